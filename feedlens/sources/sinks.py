@@ -19,6 +19,7 @@ RAW_COLUMNS = (
     "kafka_timestamp",
 )
 AUDIT_CHUNK = 2000
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def append_parquet(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -48,7 +49,12 @@ def write_recommendations(df: DataFrame, path: str) -> None:
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """One JSON object per line, times to the microsecond."""
+    df.write.mode("overwrite").option("timestampFormat", JSON_TIME).json(path)
+
+
+def read_jsonl(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    return spark.read.schema(layout).option("timestampFormat", JSON_TIME).json(path)
 
 
 def publish_events(events: DataFrame, servers: str, topic: str) -> None:
