@@ -34,7 +34,7 @@ def responses(t: Tables):
     return final.unionByName(first)
 
 
-_PENDING = """pending AS (SELECT event_id, event_type, epoch_ms(event_timestamp) AS created_at,
+_PENDING = """pending AS (SELECT event_id, event_type, epoch_us(event_timestamp) // 1000 AS created_at,
     CAST(day(event_timestamp) % 3 AS INTEGER) AS retry_count, CAST(NULL AS VARCHAR) AS last_error,
     day(event_timestamp) AS d FROM feed_events)"""
 

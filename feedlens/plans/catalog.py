@@ -9,6 +9,7 @@ from feedlens.plans import (  # noqa: F401
     function_queries,
     recommend_queries,
     report_queries,
+    stream_queries,
 )
 from feedlens.plans.registry import ORACLES, QUERIES
 

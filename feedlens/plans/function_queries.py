@@ -73,10 +73,8 @@ def event_weights(t: Tables):
 
 
 # --- synthetic sources ------------------------------------------------------
-@query("synthetic_users", """SELECT user_id, 'generated.user' || lpad(CAST(user_id AS VARCHAR), greatest(4,
-      length(CAST(user_id AS VARCHAR))), '0') || '@example.com' AS email,
-    'Generated User ' || lpad(CAST(user_id AS VARCHAR), greatest(4, length(CAST(user_id AS VARCHAR))), '0')
-      AS full_name, 'user' AS role, true AS is_active FROM feed_users""")
+@query("synthetic_users", """SELECT user_id, printf('generated.user%04d@example.com', user_id) AS email,
+    printf('Generated User %04d', user_id) AS full_name, 'user' AS role, true AS is_active FROM feed_users""")
 def synthetic_users(t: Tables):
     return Y.synthetic_users(t.users, "user_id")
 
@@ -102,8 +100,7 @@ def _list(values) -> str:
       {_list(s for _, s in S.SEED_CATEGORIES)}[(article_id - 1) % 12 + 1] AS category_slug,
       TIMESTAMP '2024-01-31 00:00:00' - to_days(CAST(article_id % 30 AS INTEGER))
         - to_minutes(article_id * 7 % 1440) AS published_at
-    FROM (SELECT article_id, lpad(CAST(article_id AS VARCHAR), greatest(4, length(CAST(article_id AS VARCHAR))),
-      '0') AS padded FROM feed_articles))""")
+    FROM (SELECT article_id, printf('%04d', article_id) AS padded FROM feed_articles))""")
 def synthetic_articles(t: Tables):
     return Y.synthetic_articles(t.articles, NOW, "article_id").select(
         "article_id", "title", "category_id", "category_slug", "published_at", "source_url"
