@@ -80,7 +80,7 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def first_free_positions(taken: DataFrame, owners: DataFrame, keys: Sequence[str], n: int,
-                         block: int = 1 << 14) -> DataFrame:
+                         highest: int | None = None, block: int = 1 << 14) -> DataFrame:
     """For every owner its first ``n`` positions not taken: rows (keys, position).
 
     ``taken`` has distinct (keys, position) rows, ``owners`` distinct keys. With the
@@ -88,28 +88,20 @@ def first_free_positions(taken: DataFrame, owners: DataFrame, keys: Sequence[str
     taken one, so the j-th free position is j plus the number of taken ones with fewer
     than j free ones before them.
 
-    An owner may have taken almost everything. Its positions are therefore numbered in
-    blocks: per-block counts give the number before each block, only blocks that can
-    still hold one of the first ``n`` free positions are looked into, and no window
-    group exceeds ``block`` rows.
+    An owner may have taken almost everything. Unless ``highest`` bounds the positions,
+    they are therefore numbered in blocks: per-block counts give the number before each
+    block, only blocks that can still hold one of the first ``n`` free positions are
+    looked into, and no window group exceeds ``block`` rows.
     """
     keys = list(keys)
-    blocked = taken.select(
-        *keys, "position", F.floor((F.col("position") - 1) / block).cast("long").alias("_block")
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        blocked.groupBy(*keys, "_block").agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .where(F.col("_block") * block - F.col("_before") < n)
-        .drop("_size")
-    )
-    in_block = Window.partitionBy(*keys, "_block").orderBy("position")
-    nth = F.row_number().over(in_block) + F.col("_before")
+    if highest is not None and highest <= block:
+        in_order = Window.partitionBy(*keys).orderBy("position")
+        marks = taken.select(*keys, "position").withColumn("_nth", F.row_number().over(in_order))
+    else:
+        marks = _numbered_in_blocks(taken.select(*keys, "position"), keys, n, block)
     # At most n groups per owner.
     steps = (
-        blocked.join(blocks, [*keys, "_block"])
-        .withColumn("_free", F.col("position") - nth)
+        marks.withColumn("_free", F.col("position") - F.col("_nth"))
         .where(F.col("_free") < n)
         .groupBy(*keys, "_free").agg(F.count("*").alias("_count"))
         .groupBy(*keys).agg(F.collect_list(F.struct("_free", "_count")).alias("_steps"))
@@ -122,3 +114,22 @@ def first_free_positions(taken: DataFrame, owners: DataFrame, keys: Sequence[str
 
     first = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda j: jth(j.cast("long")))
     return owners.join(steps, keys, "left").select(*keys, F.explode(first).alias("position"))
+
+
+def _numbered_in_blocks(taken: DataFrame, keys: list[str], n: int, block: int) -> DataFrame:
+    # One explicit shuffle that both the block sizes and the rows read.
+    blocked = taken.withColumn(
+        "_block", F.floor((F.col("position") - 1) / block).cast("long")
+    ).repartition(*keys, "_block")
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        blocked.groupBy(*keys, "_block")
+        .agg(F.count("*").alias("_size"), F.min("position").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .where(F.col("_first") - 1 - F.col("_before") < n)
+        .select(*keys, "_block", "_before")
+    )
+    in_block = Window.partitionBy(*keys, "_block").orderBy("position")
+    return blocked.join(blocks, [*keys, "_block"]).select(
+        *keys, "position", (F.row_number().over(in_block) + F.col("_before")).alias("_nth")
+    )

@@ -88,14 +88,16 @@ def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                             (9, None), (10, "like_article")))
     )
     number = F.get_json_object("props", "$.k").cast("long")
-    broken = kind == "error"
+    broken = F.col("broken")
     is_article = F.col("feed_type").isin(*S.ARTICLE_EVENT_TYPES)
     is_category = F.col("feed_type").isin(*S.CATEGORY_EVENT_TYPES)
     article = F.col("number") * 2 + F.col("event_id") % 2 + 1
+    # Through a generator, so that predicates do not repeat the mapping per reference.
+    mapped = F.explode(F.array(F.struct(feed_type.alias("feed_type"), number.alias("number"))))
     return (
         table(spark, sf_dir, "events")
-        .withColumn("feed_type", feed_type)
-        .withColumn("number", number)
+        .withColumn("mapped", mapped)
+        .select("event_id", "user_id", "ts", (kind == "error").alias("broken"), "mapped.*")
         .select(
             F.col("event_id").cast("string").alias("event_id"),
             F.when(~(broken & (digit == 9)), F.col("user_id") + 1).alias("user_id"),
