@@ -115,20 +115,26 @@ def als(t: Tables):
 
 
 @query("als_recommendation_checks", """SELECT (SELECT count(*) FROM (SELECT user_id FROM active_users
-      JOIN ratings USING (user_id) GROUP BY 1 HAVING sum(events_count) >= 30)) AS users_count,
-    0 AS read_articles, 0 AS unknown_articles, 0 AS crowded_users, 0 AS negative_scores""")
+      JOIN ratings USING (user_id) GROUP BY 1 HAVING sum(events_count) >= 30)) AS eligible_count,
+    0 AS other_users, 0 AS read_articles, 0 AS unknown_articles, 0 AS crowded_users, 0 AS negative_scores""")
 def als_checks(t: Tables):
-    """Every eligible user is served, with no read or unknown article, ten at most."""
+    """Only eligible users are served, with no read or unknown article, ten at most."""
     rows = _als(t)
+    people = eligible(t)
+
+    def size(df):
+        return df.select(F.count("*").alias("n")).scalar()
+
     per_user = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("score") < 0).alias("negative"))
-    read = rows.join(t.ratings, ["user_id", "article_id"], "left_semi").select(F.count("*").alias("n"))
-    unknown = rows.join(t.articles, "article_id", "left_anti").select(F.count("*").alias("n"))
     return per_user.agg(
-        F.count("*").alias("users_count"),
-        F.max(read.scalar()).cast("int").alias("read_articles"),
-        F.max(unknown.scalar()).cast("int").alias("unknown_articles"),
         F.count_if(F.col("n") > PICKY.top_n).cast("int").alias("crowded_users"),
-        F.sum("negative").cast("int").alias("negative_scores"),
+        F.coalesce(F.sum("negative"), F.lit(0)).cast("int").alias("negative_scores"),
+    ).select(
+        size(people).alias("eligible_count"),
+        size(rows.join(people, "user_id", "left_anti")).cast("int").alias("other_users"),
+        size(rows.join(t.ratings, ["user_id", "article_id"], "left_semi")).cast("int").alias("read_articles"),
+        size(rows.join(t.articles, "article_id", "left_anti")).cast("int").alias("unknown_articles"),
+        "crowded_users", "negative_scores",
     )
 
 

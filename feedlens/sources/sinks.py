@@ -76,6 +76,20 @@ def write_audit_jdbc(events: DataFrame, options: Mapping[str, str]) -> None:
     )
 
 
+def write_table_jdbc(df: DataFrame, table: str, options: Mapping[str, str], partitions: int = 8) -> None:
+    """Replace the rows of a database table, keeping its definition. Executors write over
+    ``partitions`` connections; nothing passes through the driver."""
+    (
+        df.coalesce(partitions).write.format("jdbc").mode("overwrite").options(**options)
+        .option("dbtable", table).option("truncate", "true").save()
+    )
+
+
+def write_documents(events: DataFrame, options: Mapping[str, str]) -> None:
+    """Raw events to the document collection, through its connector."""
+    raw_columns(events).write.format("mongodb").mode("append").options(**options).save()
+
+
 def write_both(events: DataFrame, publish, audit) -> None:
     """The same events to the log and to the audit table; the input is computed once."""
     kept = events.persist()
