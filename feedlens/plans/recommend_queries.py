@@ -79,9 +79,10 @@ def global_pool(t: Tables):
 @query("fallback_recommendations", """SELECT user_id, article_id, score, reason, 'als-v1' AS model_version,
     source_priority FROM fallback""")
 def fallback(t: Tables):
+    rated, pairs = t.ratings.persist(), R.subscription_pairs(t.subscriptions).persist()
     return R.fallback_candidates(
-        R.active_users(t.users), R.subscription_pairs(t.subscriptions), _popularity(t),
-        t.ratings.select("user_id", "article_id"), SETTINGS,
+        R.active_users(t.users), pairs, R.article_popularity(R.article_features(t.articles), rated),
+        rated.select("user_id", "article_id"), SETTINGS,
     )
 
 

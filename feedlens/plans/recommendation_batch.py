@@ -15,8 +15,9 @@ def recommend(users: DataFrame, articles: DataFrame, subscriptions: DataFrame, e
               settings: R.RecommendationSettings = R.RecommendationSettings()) -> DataFrame:
     """Final (user, article, score, reason, model_version) rows, ``top_n`` per user.
 
-    ``events`` are deduplicated interaction events. The ratings are persisted, as the
-    fit iterates over them; the caller's session frees them with the result.
+    ``events`` are deduplicated interaction events. Ratings and subscription pairs are
+    persisted, as the fit and the exclusions read them several times; they are freed with
+    the session's cache.
     """
     people = R.active_users(users)
     features = R.article_features(articles)
@@ -25,8 +26,8 @@ def recommend(users: DataFrame, articles: DataFrame, subscriptions: DataFrame, e
     eligible = R.eligible_users(R.user_event_counts(people, ratings), settings.min_events)
     als = als_candidates(ratings, eligible, features, settings)
     fallback = R.fallback_candidates(
-        people, R.subscription_pairs(subscriptions), R.article_popularity(features, ratings),
-        interacted, settings,
+        people, R.subscription_pairs(subscriptions).persist(StorageLevel.MEMORY_AND_DISK),
+        R.article_popularity(features, ratings), interacted, settings,
     )
     return R.combine_candidates(als, fallback, settings)
 

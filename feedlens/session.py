@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Application id -> scratch folder of a local session without a setting.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "feedlens", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -42,11 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="feedlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="feedlens-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

@@ -15,9 +15,30 @@ from feedlens.session import use_utc
 
 CATEGORY_COUNT = 25
 
+# Layouts of the given tables; a declared schema saves the footer-reading job per table.
+GIVEN = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def feed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,14 +134,12 @@ def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events from order lines; the (order, line) ids repeat in the data."""
-    flags = F.concat("l_returnflag", "l_linestatus")
-    event_type = (
-        F.when(flags.isin("AF", "RO"), F.lit("view_article"))
-        .when(flags == "AO", F.lit("like_article"))
-        .when(flags == "NF", F.lit("save_article"))
-        .when(flags == "NO", F.lit("open_recommended_article"))
-        .when(flags == "RF", F.lit("unlike_article"))
-    )
+    types = {
+        "AF": "view_article", "RO": "view_article", "AO": "like_article", "NF": "save_article",
+        "NO": "open_recommended_article", "RF": "unlike_article",
+    }
+    by_flags = F.create_map(*[F.lit(part) for item in types.items() for part in item])
+    event_type = F.element_at(by_flags, F.concat("l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
