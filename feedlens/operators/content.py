@@ -38,6 +38,20 @@ def with_category(rows: DataFrame, categories: DataFrame) -> DataFrame:
     return rows.join(record, "category_id", "left")
 
 
+def with_article(rows: DataFrame, articles: DataFrame, categories: DataFrame) -> DataFrame:
+    """Nested ``article`` list item, itself with its ``category``, for the row's article."""
+    items = with_category(article_list_view(articles), categories)
+    record = items.select("article_id", F.struct(*items.columns).alias("article"))
+    return rows.join(record, "article_id")
+
+
+def lookup(rows: DataFrame, key: str, wanted: Sequence | DataFrame) -> DataFrame:
+    """Rows whose key is in a short list of values, or in the key column of a table."""
+    if isinstance(wanted, DataFrame):
+        return rows.join(wanted.select(key), key, "left_semi")
+    return rows.where(F.col(key).isin(*wanted))
+
+
 def category_name(own_name: Column, category: Column) -> Column:
     """The row's own category name, else the one of its category record."""
     return F.coalesce(own_name, category["name"])
@@ -69,14 +83,14 @@ def search_articles(articles: DataFrame, term: str | None = None, category_id: i
 
 
 def feed_page(articles: DataFrame, limit: int = 20, offset: int = 0, term: str | None = None,
-              category_id: int | None = None) -> DataFrame:
+              category_id: int | None = None, with_total: bool = True) -> DataFrame:
     """One page, newest first, with the total number of matches.
 
     The page is chosen on the list columns only: the article text is read to test the
     term but never sorted or shuffled.
     """
     return paged(article_list_view(search_articles(articles, term, category_id)),
-                 newest_first(), limit, offset)
+                 newest_first(), limit, offset, with_total)
 
 
 def category_list(categories: DataFrame, ignore_case: bool = False) -> DataFrame:

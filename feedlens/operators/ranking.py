@@ -34,16 +34,19 @@ def total_order(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
     ]
 
 
-def paged(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
+def paged(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0,
+          with_total: bool = True) -> DataFrame:
     """One page in the given (total) order, with the size of the whole result.
 
     The page is a distributed top-k; the total is a scalar subquery, a plain
-    partial count next to it.
+    partial count next to it. The count is a second scan: later pages can leave it out.
     """
     if limit < 1 or offset < 0:
         raise ValueError("limit must be positive and offset not negative")
-    total = df.select(F.count("*").alias("total")).scalar()
-    return df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
+    page = df.orderBy(*order).offset(offset).limit(limit)
+    if not with_total:
+        return page
+    return page.withColumn("total", df.select(F.count("*").alias("total")).scalar())
 
 
 def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],

@@ -38,8 +38,15 @@ def _article_titles(articles: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def since(events: DataFrame, now: datetime, days: int, column: str = "event_timestamp") -> DataFrame:
-    """Events of the last ``days`` days up to ``now`` and beyond; the bound is inclusive."""
-    return events.where(F.col(column) >= X.days_before(now, days))
+    """Events of the last ``days`` days up to ``now`` and beyond; the bound is inclusive.
+
+    A table stored by ``event_date`` is read from the bound's day on.
+    """
+    bound = X.days_before(now, days)
+    recent = events.where(F.col(column) >= bound)
+    if "event_date" in events.columns:
+        recent = recent.where(F.col("event_date") >= bound.cast("date"))
+    return recent
 
 
 # --- favourite categories ---------------------------------------------------
@@ -188,12 +195,15 @@ def ctr_by_scope(events: DataFrame, user_id: int) -> DataFrame:
 
 
 # --- composed reports -------------------------------------------------------
-def personal_report(events: DataFrame, scores: DataFrame, categories: DataFrame, limit: int = 5) -> DataFrame:
-    """One row per user with events or stored scores.
+def personal_report(events: DataFrame, scores: DataFrame, categories: DataFrame, limit: int = 5,
+                    user_id: int | None = None) -> DataFrame:
+    """One row per user with events or stored scores; exactly one row for ``user_id``.
 
     Counters that are 0 in the events come from the stored scores, and so do the
     favourites of a user without categorised events.
     """
+    if user_id is not None:
+        events, scores = events.where(F.col("user_id") == user_id), scores.where(F.col("user_id") == user_id)
     from_events = events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         *_counters(), *_ctr_columns()
     )
@@ -207,12 +217,13 @@ def personal_report(events: DataFrame, scores: DataFrame, categories: DataFrame,
         # At most ``limit`` entries per user.
         return favorites.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
 
-    by_events = listed(favorite_categories(events, categories, limit=limit), "by_events")
-    by_scores = listed(favorite_from_scores(scores, categories, limit=limit), "by_scores")
+    people = from_events.join(stored, "user_id", "full")
+    if user_id is not None:
+        asked = events.sparkSession.createDataFrame([(user_id,)], "user_id BIGINT")
+        people = asked.join(people, "user_id", "left")
     joined = (
-        from_events.join(stored, "user_id", "full")
-        .join(by_events, "user_id", "left")
-        .join(by_scores, "user_id", "left")
+        people.join(listed(favorite_categories(events, categories, limit=limit), "by_events"), "user_id", "left")
+        .join(listed(favorite_from_scores(scores, categories, limit=limit), "by_scores"), "user_id", "left")
     )
     counters = [
         F.coalesce(X.nonzero_or(F.col(n), F.col(f"stored_{n}")), F.lit(0)).alias(n)

@@ -34,15 +34,21 @@ def merge_feed_snapshot(cached: DataFrame, snapshot: DataFrame, cached_at: Colum
 def merge_saved_snapshot(cached: DataFrame, snapshot: DataFrame, cached_at: Column) -> DataFrame:
     """The snapshot becomes the saved list: its rows are saved and keep whether they were
     in the feed, all others are no longer saved."""
+    forced = snapshot.withColumn("is_saved", F.lit(True))
+    cleared = cached.withColumn("is_saved", F.lit(False))
+    return merge_article_state(cleared, forced, cached_at)
+
+
+def merge_article_state(cached: DataFrame, snapshot: DataFrame, cached_at: Column) -> DataFrame:
+    """Single articles seen again: their rows replace the cached ones but stay in the feed
+    or outside of it; all others are untouched."""
     was_in_feed = cached.select("article_id", F.col("in_feed").alias("_in_feed"))
     rows = (
         _last_rows(snapshot).join(was_in_feed, "article_id", "left")
         .withColumn("in_feed", F.coalesce("_in_feed", F.lit(False)))
-        .withColumn("is_saved", F.lit(True))
         .withColumn("cached_at", cached_at)
     )
-    rest = _untouched(cached, rows).withColumn("is_saved", F.lit(False))
-    return rest.select(*cached.columns).unionByName(rows.select(*cached.columns))
+    return _untouched(cached, rows).select(*cached.columns).unionByName(rows.select(*cached.columns))
 
 
 def merge_saved_set(saved: DataFrame, snapshot: DataFrame, cached_at: Column,

@@ -159,6 +159,15 @@ def saved_snapshot(t: Tables):
     return N.merge_saved_snapshot(cached_articles(t), snapshot(t), _merged_at())
 
 
+@query("merge_article_state", f"""SELECT * FROM (WITH {_CACHED}
+  SELECT article_id, category_id, title, published_at, is_liked, is_saved, in_feed, cached_at FROM cached
+    WHERE article_id NOT IN (SELECT article_id FROM snap)
+  UNION ALL SELECT s.article_id, s.category_id, s.title, s.published_at, s.is_liked, s.is_saved,
+    coalesce(c.in_feed, false), TIMESTAMP '{MERGED_AT}' FROM snap s LEFT JOIN cached c USING (article_id))""")
+def article_state(t: Tables):
+    return N.merge_article_state(cached_articles(t), snapshot(t), _merged_at())
+
+
 @query("merge_saved_set", f"""SELECT * FROM (WITH {_CACHED}
   SELECT article_id, cached_at AS saved_at FROM cached WHERE is_saved
     AND article_id NOT IN (SELECT article_id FROM snap)

@@ -51,6 +51,19 @@ def category_list(t: Tables):
     return C.category_list(t.categories)
 
 
+@query("category_list_ignoring_case", """SELECT category_id, name FROM (
+    SELECT category_id, CASE WHEN category_id % 2 = 0 THEN lower(name) ELSE name END AS name FROM feed_categories)""")
+def category_list_folded(t: Tables):
+    mixed = F.when(F.col("category_id") % 2 == 0, F.lower("name")).otherwise(F.col("name"))
+    return C.category_list(t.categories.withColumn("name", mixed), ignore_case=True)
+
+
+@query("lookup_articles", """SELECT article_id, title FROM feed_articles
+  WHERE article_id IN (SELECT article_id FROM likes)""")
+def lookup(t: Tables):
+    return C.lookup(t.articles, "article_id", t.likes).select("article_id", "title")
+
+
 @query("category_flags", f"""SELECT category_id, name, category_id IN (SELECT category_id FROM subscriptions
     WHERE user_id = {READER}) AS is_subscribed FROM feed_categories""")
 def category_flags(t: Tables):

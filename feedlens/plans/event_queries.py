@@ -12,7 +12,15 @@ from feedlens.operators import scores as SC
 from feedlens.plans.registry import Tables, query
 from feedlens.plans.views import DELTAS, MIDDLE
 from feedlens.sources import readers
-from feedlens.sources.sinks import ScoreStore, read_jsonl, replace_partitions, write_batch, write_jsonl
+from feedlens.sources.sinks import (
+    ScoreStore,
+    append_parquet,
+    read_jsonl,
+    replace_partitions,
+    write_batch,
+    write_both,
+    write_jsonl,
+)
 from feedlens.session import run_folder
 
 EVENT_COLUMNS = ("event_id", "user_id", "session_id", "event_type", "article_id", "category_id",
@@ -226,6 +234,29 @@ def jsonl(t: Tables):
     ))
 
 
+@query("fan_out", """SELECT 'log' AS sink, count(*) AS events_count, count(DISTINCT event_id) AS distinct_ids
+    FROM events_valid UNION ALL SELECT 'audit', count(*), count(DISTINCT event_id) FROM events_valid""")
+def fan_out(t: Tables):
+    """The same events into log files and into an audit table, from one computation."""
+    base = run_folder(t.spark, "fan-out")
+    events = t.events.withColumns({
+        "device": F.create_map(F.lit("platform"), F.lit("android")),
+        "metadata": F.create_map(F.lit("source"), F.lit("feed")),
+    })
+    write_both(
+        events,
+        lambda df: append_parquet(E.encode_events(df), f"{base}/log"),
+        lambda df: append_parquet(E.to_audit_rows(df), f"{base}/audit"),
+    )
+
+    def counted(sink: str, key: str):
+        return t.spark.read.parquet(f"{base}/{sink}").agg(
+            F.count("*").alias("events_count"), F.countDistinct(key).alias("distinct_ids")
+        ).select(F.lit(sink).alias("sink"), "events_count", "distinct_ids")
+
+    return counted("log", "key").unionByName(counted("audit", "event_id"))
+
+
 # --- daily aggregates -------------------------------------------------------
 def _daily_sql(source: str, key: str) -> str:
     return f"""SELECT date_trunc('day', event_timestamp) AS window_start,

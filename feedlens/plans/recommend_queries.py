@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedlens import schemas as S
 from feedlens.operators import recommend as R
 from feedlens.operators.als import als_candidates
+from feedlens.operators.content import with_article
 from feedlens.operators.events import dedupe_events
 from feedlens.plans.recommendation_batch import recommend
 from feedlens.plans.registry import Tables, query
@@ -120,7 +121,7 @@ def als(t: Tables):
     0 AS other_users, 0 AS read_articles, 0 AS unknown_articles, 0 AS crowded_users, 0 AS negative_scores""")
 def als_checks(t: Tables):
     """Only eligible users are served, with no read or unknown article, ten at most."""
-    rows = _als(t)
+    rows = _als(t).persist()
     people = eligible(t)
 
     def size(df):
@@ -198,6 +199,16 @@ def rerank(t: Tables):
     return R.rerank(t.stored_recommendations, affinities(t), t.articles, limit=10, offset=5)
 
 
+@query("recommendations_with_articles", """SELECT user_id, article_id, model_version, score, title, summary,
+    name AS category_name FROM stored_recs JOIN feed_articles USING (article_id)
+  LEFT JOIN feed_categories USING (category_id)""")
+def with_articles(t: Tables):
+    return with_article(t.stored_recommendations, t.articles, t.categories).select(
+        "user_id", "article_id", "model_version", "score", "article.title", "article.summary",
+        F.col("article.category.name").alias("category_name"),
+    )
+
+
 _REPLACED = """SELECT user_id, article_id, score, reason, model_version, created_at FROM stored_recs
     WHERE model_version <> 'als-v1'
   UNION ALL SELECT user_id, article_id, rating, 'renewed', 'als-v1', TIMESTAMP '2024-02-01 00:00:00' FROM ratings"""

@@ -192,6 +192,15 @@ def personal(t: Tables):
     return report.withColumn("favorites", F.array_join(label, ",")).drop("favorite_categories")
 
 
+@query("personal_report_of_user", f"""SELECT CAST({READER} AS BIGINT) AS user_id, {COUNTERS}, {CTR},
+    (SELECT count(*) FROM (SELECT DISTINCT category_id FROM events_valid JOIN feed_categories USING (category_id)
+      WHERE user_id = {READER} LIMIT 5)) AS favorites_count
+  FROM events_valid WHERE user_id = {READER}""")
+def personal_of_user(t: Tables):
+    report = P.personal_report(t.events, t.scores, t.categories, user_id=READER)
+    return report.withColumn("favorites_count", F.size("favorite_categories").cast("long")).drop("favorite_categories")
+
+
 @query("global_report", f"""SELECT 'top_categories' AS part, CAST(category_id AS VARCHAR) AS label,
     events_count AS measure FROM ({_top_categories_sql('events_valid')})
   UNION ALL SELECT 'top_articles', CAST(article_id AS VARCHAR), views_count

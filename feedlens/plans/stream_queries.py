@@ -15,7 +15,7 @@ from feedlens.operators.events import decode_events, valid_events
 from feedlens.plans.event_queries import log_records
 from feedlens.plans.registry import Tables, query
 from feedlens.plans.views import DELTAS
-from feedlens.session import run_folder
+from feedlens.session import run_folder, stream_session
 from feedlens.sources.readers import read_event_stream
 from feedlens.sources.sinks import ScoreStore
 from feedlens.streaming import aggregates as G
@@ -44,7 +44,7 @@ def _waves(t: Tables, copies: int = 1) -> list[DataFrame]:
 def _stream(t: Tables, log: str) -> DataFrame:
     # The folder has to exist before the stream is defined.
     t.spark.createDataFrame([], S.LOG_RECORD).write.mode("append").parquet(log)
-    return read_event_stream(t.spark, "parquet", path=log)
+    return read_event_stream(stream_session(t.spark), "parquet", path=log)
 
 
 def _run_waves(t: Tables, start, copies: int = 1) -> str:

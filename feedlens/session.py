@@ -30,6 +30,21 @@ def build_session(app_name: str = "feedlens", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same application for streaming jobs.
+
+    The number of state partitions is fixed for the life of a checkpoint, so it must not
+    follow whatever the batch session has set: it is the cluster's parallelism unless
+    given.
+    """
+    session = spark.newSession()
+    for key, value in SESSION_DEFAULTS.items():
+        session.conf.set(key, value)
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Days, windows and last-N-days limits are all UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -39,6 +39,16 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     replace_partitions(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, "batch_id")
 
 
+def write_raw_events(events: DataFrame, path: str, batch_id: int) -> None:
+    """Raw events by (event day, batch): readers of the last days skip the other folders,
+    and a repeated batch still overwrites exactly its own rows. The rebalance gathers a
+    day's rows into few files and cuts a day that holds most of the batch into several."""
+    dated = raw_columns(events).withColumns({
+        "event_date": F.to_date("event_timestamp"), "batch_id": F.lit(batch_id).cast("long"),
+    })
+    replace_partitions(dated.hint("rebalance", "event_date"), path, "event_date", "batch_id")
+
+
 def raw_columns(events: DataFrame) -> DataFrame:
     return events.select(*RAW_COLUMNS)
 

@@ -43,7 +43,10 @@ def synthetic_articles(ids: DataFrame, now: datetime, id_col: str = "id", seed:
     slugs = tuple(slug for _, slug in S.SEED_CATEGORIES)
     topic = X.pick(S.SEED_TOPICS, zero_based)
     title = F.concat(X.pick(names, zero_based), F.lit(": "), X.title_words(topic), F.lit(" Demo #"), padded)
-    url = F.concat(F.lit("https://example.com/generated/"), padded, F.lit("-"), X.slug(F.col("title")))
+    url = F.concat(
+        F.lit("https://example.com/generated/"), F.format_string("%04d", "article_id"), F.lit("-"),
+        X.slug(F.col("title")),
+    )
     minutes = (number * 7) % 1440
     age = F.make_dt_interval((number % 30).cast("int"), F.lit(0), minutes.cast("int"))
     return ids.select(

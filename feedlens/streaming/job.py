@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedlens.operators import aggregates as A
 from feedlens.operators.events import decode_events, split_events, validate_events
-from feedlens.sources.sinks import ScoreStore, raw_columns, write_batch
+from feedlens.sources.sinks import ScoreStore, write_batch, write_raw_events
 from feedlens.streaming.aggregates import dedupe_stream
 
 DEFAULT_TRIGGER = "10 seconds"
@@ -71,7 +71,7 @@ def process_batch(paths: StreamPaths, store: ScoreStore, compact_every: int = 0,
                 return
             valid, invalid = split_events(kept)
             write_batch(invalid.drop("is_valid"), paths.dead_letters, batch_id)
-            write_batch(raw_columns(valid), paths.raw_events, batch_id)
+            write_raw_events(valid, paths.raw_events, batch_id)
             write_batch(A.daily_by_type(valid), paths.by_type, batch_id)
             write_batch(A.daily_by_category(valid), paths.by_category, batch_id)
             write_batch(A.user_activity_daily(valid), paths.user_activity, batch_id)
@@ -97,6 +97,14 @@ def run_stream(stream: DataFrame, sink: Callable[[DataFrame, int], None] | str,
     return writer.outputMode("append").format("parquet").option("path", sink).start()
 
 
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the stateful operators dropped behind the watermark in the recent batches."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for operator in progress["stateOperators"]
+    )
+
+
 def run_event_job(spark: SparkSession, records: DataFrame, base: str, checkpoint: str,
                   available_now: bool = False, processing_time: str = DEFAULT_TRIGGER,
                   dedupe: bool = False, compact_every: int = 0) -> StreamingQuery:

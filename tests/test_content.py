@@ -59,6 +59,16 @@ def test_global_report_falls_back(spark, seed):
     assert [(r.article_id, r.score, r.views_count) for r in report["top_articles"].collect()] == [(1, 10.0, 0), (2, 8.0, 0)]
 
 
+def test_recent_days_read_only_their_folders(spark, seed, tmp_path):
+    events = seed[2].withColumn("event_date", F.to_date("event_timestamp"))
+    older = events.withColumns({"event_timestamp": F.lit(datetime(2023, 5, 1)), "event_date": F.lit("2023-05-01").cast("date")})
+    events.unionByName(older).write.partitionBy("event_date").parquet(str(tmp_path / "raw"))
+    recent = P.since(spark.read.parquet(str(tmp_path / "raw")), datetime(2024, 1, 31), 30)
+    assert recent.count() == 4 and len(recent.inputFiles()) > 0
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_ctr_scopes_without_events(spark, seed):
     rows = {r.scope: r.recommendation_ctr for r in P.ctr_by_scope(seed[2].where("false"), 5).collect()}
     assert rows == {"personal": 0.0, "global": 0.0}
