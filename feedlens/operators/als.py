@@ -14,13 +14,16 @@ from feedlens.session import enable_checkpoints
 INT_MAX = 2**31 - 1
 
 
-def _id_map(ratings: DataFrame, column: str) -> DataFrame | None:
-    """Dense int ids for ``column``, or None when its values are int-sized already
+def _id_maps(ratings: DataFrame) -> list[DataFrame | None]:
+    """Dense int ids of users and articles, None for a column that is int-sized already
     (the factorisation takes 32-bit ids only)."""
-    low, high = ratings.agg(F.min(column), F.max(column)).first()
-    if -INT_MAX <= low and high <= INT_MAX:
-        return None
-    return with_positions(ratings.select(column).distinct(), [], [F.asc(column)], f"_{column}")
+    columns = ("user_id", "article_id")
+    bounds = ratings.agg(*[bound(column) for column in columns for bound in (F.min, F.max)]).first()
+    return [
+        None if -INT_MAX <= low and high <= INT_MAX
+        else with_positions(ratings.select(column).distinct(), [], [F.asc(column)], f"_{column}")
+        for column, low, high in zip(columns, bounds[::2], bounds[1::2])
+    ]
 
 
 def _encode(df: DataFrame, column: str, ids: DataFrame | None) -> DataFrame:
@@ -62,7 +65,7 @@ def als_candidates(ratings: DataFrame, eligible: DataFrame, articles: DataFrame,
     spark = ratings.sparkSession
     if ratings.isEmpty() or eligible.isEmpty():
         return spark.createDataFrame([], S.CANDIDATES)
-    user_ids, item_ids = _id_map(ratings, "user_id"), _id_map(ratings, "article_id")
+    user_ids, item_ids = _id_maps(ratings)
     triples = _encode(_encode(ratings, "user_id", user_ids), "article_id", item_ids).select(
         "user_id", "article_id", F.col("rating").cast("float").alias("rating")
     )

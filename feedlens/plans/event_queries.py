@@ -315,17 +315,17 @@ def _merge_sql(change: str) -> str:
         f"greatest(0, coalesce(s.{name}, 0) + {change.format(delta='coalesce(d.' + delta + ', 0)')}) AS {name}"
         for name, delta in SC.MEASURES.items()
     )
-    return f"SELECT user_id, category_id, {columns} FROM scores s FULL JOIN deltas_second d USING (user_id, category_id)"
+    return f"SELECT user_id, category_id, {columns} FROM old_scores s FULL JOIN deltas_second d USING (user_id, category_id)"
 
 
 @query("merge_category_scores_signed", _merge_sql("{delta}"))
 def merge_signed(t: Tables):
-    return SC.merge_category_scores(t.scores, A.category_score_deltas(t.second_half), "signed")
+    return SC.merge_category_scores(t.old_scores, A.category_score_deltas(t.second_half), "signed")
 
 
 @query("merge_category_scores_clamped", _merge_sql("greatest(0, {delta})"))
 def merge_clamped(t: Tables):
-    return SC.merge_category_scores(t.scores, A.category_score_deltas(t.second_half), "clamped")
+    return SC.merge_category_scores(t.old_scores, A.category_score_deltas(t.second_half), "clamped")
 
 
 def daily_ledger(t: Tables):
@@ -375,9 +375,10 @@ def score_store(t: Tables):
     kept = daily_ledger(t).persist()
     first = kept.where("batch_id <= 15")
     stamped = F.current_timestamp()
-    replace_partitions(first.withColumn("processed_at", stamped), store.ledger_path, "batch_id")
+    replace_partitions(first.repartition("batch_id").withColumn("processed_at", stamped), store.ledger_path, "batch_id")
     store.compact()
-    replace_partitions(kept.where("batch_id > 15").withColumn("processed_at", stamped), store.ledger_path, "batch_id")
+    later = kept.where("batch_id > 15").repartition("batch_id")
+    replace_partitions(later.withColumn("processed_at", stamped), store.ledger_path, "batch_id")
     write_batch(kept.where("batch_id = 20").drop("batch_id").withColumn("processed_at", stamped), store.ledger_path, 20)
     kept.unpersist()
     return store.current()

@@ -92,12 +92,12 @@ def fallback(t: Tables):
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id, article_id
         ORDER BY source_priority, score DESC) AS best
       FROM (SELECT user_id, article_id % 200 + 1 AS article_id, rating / 10 AS score,
-          'als_implicit_feedback' AS reason, 1 AS source_priority FROM ratings WHERE rating >= 5
+          'als_implicit_feedback' AS reason, 1 AS source_priority FROM ratings
         UNION ALL SELECT user_id, article_id, score, reason, source_priority FROM fallback)) WHERE best = 1)
   WHERE place <= 10""")
 def combine(t: Tables):
     """Ratings moved to the next article stand in for model scores."""
-    given = t.ratings.where("rating >= 5").select(
+    given = t.ratings.select(
         "user_id", (F.col("article_id") % 200 + 1).alias("article_id"), (F.col("rating") / 10).alias("score"),
         F.lit(S.REASON_ALS).alias("reason"), F.lit(SETTINGS.model_version).alias("model_version"),
         F.lit(S.PRIORITY_ALS).alias("source_priority"),
@@ -141,7 +141,10 @@ def als_checks(t: Tables):
 
 
 def _final(t: Tables):
-    return recommend(t.users, t.articles, t.subscriptions, t.events, PICKY)
+    return recommend(
+        R.active_users(t.users), R.article_features(t.articles),
+        R.subscription_pairs(t.subscriptions).persist(), t.ratings.persist(), PICKY,
+    )
 
 
 @query("final_recommendations")

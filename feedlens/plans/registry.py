@@ -12,7 +12,7 @@ from feedlens.operators import aggregates as A
 from feedlens.operators import content as C
 from feedlens.operators import events as E
 from feedlens.operators import recommend as R
-from feedlens.operators.scores import merge_category_scores
+from feedlens.operators.scores import MEASURES
 from feedlens.plans import views
 from feedlens.sources import bridge
 
@@ -77,13 +77,26 @@ class Tables:
 
     @cached_property
     def scores(self) -> DataFrame:
-        """Stored scores: what the first half of the month left behind."""
-        deltas = A.category_score_deltas(self.first_half)
-        empty = deltas.select(
-            "user_id", "category_id", F.lit(0.0).alias("score"),
-            *[F.lit(0).cast("long").alias(n) for n in ("views_count", "likes_count", "saves_count")],
+        """Stored scores of all feed events."""
+        return self._scores_of(self.events)
+
+    @cached_property
+    def old_scores(self) -> DataFrame:
+        """Stored scores before the second half of the month."""
+        return self._scores_of(self.first_half)
+
+    @cached_property
+    def order_scores(self) -> DataFrame:
+        """Stored scores of the order events, also of users without feed events."""
+        return self._scores_of(self.order_events)
+
+    @staticmethod
+    def _scores_of(events: DataFrame) -> DataFrame:
+        return A.category_score_deltas(events).select(
+            "user_id", "category_id",
+            *[F.greatest(F.lit(0), F.col(delta)).cast("double" if name == "score" else "long").alias(name)
+              for name, delta in MEASURES.items()],
         )
-        return merge_category_scores(empty, deltas)
 
     @cached_property
     def first_half(self) -> DataFrame:

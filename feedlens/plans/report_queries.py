@@ -16,7 +16,7 @@ READER = 7
 _FAVORITES = f"""SELECT user_id, category_id, name AS category_name, count(*) AS events_count, {COUNTERS},
     {SCORE_SUM} AS score FROM events_valid JOIN feed_categories USING (category_id) GROUP BY ALL"""
 _FAVORITE_SCORES = """SELECT *, name AS category_name, views_count + likes_count + saves_count AS events_count
-    FROM scores JOIN feed_categories USING (category_id)"""
+    FROM {source} JOIN feed_categories USING (category_id)"""
 
 
 @query("favorite_categories", f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
@@ -32,7 +32,7 @@ def favorites_of_user(t: Tables):
 
 
 @query("favorite_from_scores", f"""SELECT * EXCLUDE (name) FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-    ORDER BY score DESC, category_id) AS rank FROM ({_FAVORITE_SCORES})) WHERE rank <= 5""")
+    ORDER BY score DESC, category_id) AS rank FROM ({_FAVORITE_SCORES.format(source='scores')})) WHERE rank <= 5""")
 def favorites_from_scores(t: Tables):
     return P.favorite_from_scores(t.scores, t.categories)
 
@@ -169,24 +169,23 @@ def ctr_by_scope(t: Tables):
     coalesce(recommended_articles_opened, 0) AS recommended_articles_opened,
     coalesce(recommendation_ctr, CAST(0 AS DOUBLE)) AS recommendation_ctr,
     coalesce(fe.names, fs.names) AS favorites
-  FROM (SELECT user_id, {COUNTERS}, {CTR} FROM events_late GROUP BY 1) e
+  FROM (SELECT user_id, {COUNTERS}, {CTR} FROM events_valid GROUP BY 1) e
   FULL JOIN (SELECT user_id, CAST(sum(views_count) AS BIGINT) AS views_count,
       CAST(sum(likes_count) AS BIGINT) AS likes_count, CAST(sum(saves_count) AS BIGINT) AS saves_count
-    FROM scores GROUP BY 1) s USING (user_id)
+    FROM order_scores GROUP BY 1) s USING (user_id)
   LEFT JOIN (SELECT user_id, string_agg(label, ',' ORDER BY rank) AS names FROM (
       SELECT user_id, name || ':' || CAST(CAST(score AS BIGINT) AS VARCHAR) AS label, row_number() OVER (
         PARTITION BY user_id ORDER BY score DESC, events_count DESC, category_id) AS rank
       FROM (SELECT user_id, category_id, name, count(*) AS events_count, {SCORE_SUM} AS score
-        FROM events_late JOIN feed_categories USING (category_id) GROUP BY ALL)) WHERE rank <= 5
+        FROM events_valid JOIN feed_categories USING (category_id) GROUP BY ALL)) WHERE rank <= 5
       GROUP BY 1) fe USING (user_id)
   LEFT JOIN (SELECT user_id, string_agg(label, ',' ORDER BY rank) AS names FROM (
       SELECT user_id, category_name || ':' || CAST(CAST(score AS BIGINT) AS VARCHAR) AS label, row_number() OVER (
-        PARTITION BY user_id ORDER BY score DESC, category_id) AS rank FROM ({_FAVORITE_SCORES}))
+        PARTITION BY user_id ORDER BY score DESC, category_id) AS rank FROM ({_FAVORITE_SCORES.format(source='order_scores')}))
       WHERE rank <= 5 GROUP BY 1) fs USING (user_id)""")
 def personal(t: Tables):
-    """Events of the last days only, so that stored scores have to fill gaps."""
-    recent = P.since(t.events, NOW, 3)
-    report = P.personal_report(recent, t.scores, t.categories)
+    """Stored scores come from the orders: most of their users have no feed events."""
+    report = P.personal_report(t.events, t.order_scores, t.categories)
     label = F.transform("favorite_categories", lambda c: F.concat_ws(
         ":", c["category_name"], c["score"].cast("long").cast("string")))
     return report.withColumn("favorites", F.array_join(label, ",")).drop("favorite_categories")

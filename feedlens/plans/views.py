@@ -46,6 +46,13 @@ def _state(on: str, off: str, key: str) -> str:
       WHERE rn = 1 AND event_type = '{on}'"""
 
 
+def _scores(source: str) -> str:
+    return f"""SELECT user_id, category_id, greatest(0, score_delta) AS score,
+      greatest(0, views_delta) AS views_count, greatest(0, likes_delta) AS likes_count,
+      greatest(0, saves_delta) AS saves_count
+    FROM (SELECT user_id, category_id, {DELTAS} FROM {source} WHERE category_id IS NOT NULL GROUP BY ALL)"""
+
+
 VIEWS = {
     "feed_users": """SELECT c_custkey + 1 AS user_id, ' ' || c_name || '@Example.COM ' AS email,
       CASE WHEN c_custkey % 50 = 0 THEN 'admin' ELSE 'user' END AS role,
@@ -89,8 +96,6 @@ VIEWS = {
       FROM feed_events""",
     "events_valid": """SELECT event_id, user_id, session_id, event_type, article_id, category_id,
       event_timestamp FROM events_checked WHERE validation_error IS NULL""",
-    "events_late": """SELECT * FROM events_valid
-      WHERE event_timestamp >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 DAY""",
     "order_events": """SELECT l_orderkey || '-' || l_linenumber AS event_id, o_custkey + 1 AS user_id,
       'o' || l_orderkey AS session_id,
       CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'view_article' WHEN 'RO' THEN 'view_article'
@@ -118,7 +123,9 @@ VIEWS = {
       WHERE category_id IS NOT NULL AND event_timestamp < TIMESTAMP '{MIDDLE}' GROUP BY ALL""",
     "deltas_second": f"""SELECT user_id, category_id, {DELTAS} FROM events_valid
       WHERE category_id IS NOT NULL AND event_timestamp >= TIMESTAMP '{MIDDLE}' GROUP BY ALL""",
-    "scores": """SELECT user_id, category_id, greatest(0, score_delta) AS score,
+    "scores": _scores("events_valid"),
+    "order_scores": _scores("order_events"),
+    "old_scores": """SELECT user_id, category_id, greatest(0, score_delta) AS score,
       greatest(0, views_delta) AS views_count, greatest(0, likes_delta) AS likes_count,
       greatest(0, saves_delta) AS saves_count FROM deltas_first""",
     "subscribed_ranked": """SELECT * FROM (SELECT s.user_id, p.article_id, p.fallback_score AS score,
