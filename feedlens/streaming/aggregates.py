@@ -18,16 +18,16 @@ def with_watermark(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return events.withWatermark("event_timestamp", delay)
 
 
-def dedupe_stream(events: DataFrame, delay: str = WATERMARK, salts: int = 1) -> DataFrame:
+def dedupe_stream(events: DataFrame, delay: str = WATERMARK, salts: int = 8) -> DataFrame:
     """One event per id within the watermark; ids are forgotten after it.
 
-    A stateful dedupe has no map-side step, so all copies of an id meet in one task. Where
-    a log repeats single ids very often, ``salts`` > 1 dedupes by (id, salt of the log
-    position) first: the copies spread over that many tasks and only one per salt is left
-    for the second pass.
+    A stateful dedupe has no map-side step: all copies of an id meet in one task. Copies
+    differ in their log position, so a first dedupe by (id, salt of the position) spreads
+    a much repeated id over ``salts`` tasks, and the second one sees one copy per salt.
+    ``salts=1``, or events without a log position, leave the first pass out.
     """
     marked = with_watermark(events, delay)
-    if salts > 1:
+    if salts > 1 and {"partition", "offset"} <= set(events.columns):
         salt = F.pmod(F.xxhash64("partition", "offset"), F.lit(salts))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(["event_id"])
