@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,9 +18,6 @@ SESSION_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Application id -> scratch folder of a local session without a setting.
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def build_session(app_name: str = "feedlens", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -54,23 +50,32 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without the setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with the machine, so that fails.
+    A session without the setting uses a folder below its warehouse, which is shared too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="feedlens-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one run's tables."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder for one run's tables, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read again.
+
+    The written files cut the lineage (a lost executor costs a re-read, not the job) and give
+    the planner real sizes, so it broadcasts a side only when the measured size allows.
+    """
+    spark = df.sparkSession
+    path = run_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def enable_checkpoints(spark: SparkSession) -> None:

@@ -5,11 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from feedlens.operators import aggregates as A
 from feedlens.operators import content as C
 from feedlens.operators import events as E
 from feedlens.operators import reports as P
+from feedlens.plans import catalog
 from feedlens.sources import bridge
 
 
@@ -18,13 +18,13 @@ def plan(df):
 
 
 # The model's own top-k crosses blocks of factors; streams run when they are built.
-PLANNED = [name for name in contract.queries()
+PLANNED = [name for name in catalog.QUERIES
            if not name.startswith("stream_") and "als_" not in name and "final_" not in name]
 
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_cross_join_and_no_python_in_the_plan(spark, small, name):
-    text = plan(contract.queries()[name](spark, small))
+    text = plan(catalog.QUERIES[name](spark, small))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in text
 

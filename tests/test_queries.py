@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from feedlens.plans import catalog
 from tools.check_queries import compare, connect
 
 
@@ -11,7 +12,7 @@ def duck(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, duck, small, name):
     problem, _, _, _ = compare(spark, duck, small, name)
     assert problem is None, problem
