@@ -77,7 +77,8 @@ def precision_threshold(scores: np.ndarray, labels: np.ndarray, precision: float
     right = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
     ends = np.flatnonzero(np.append(np.diff(scores[order]) != 0, True))
     good = [end for end in ends if right[end] >= precision]
-    return float(scores[order][good[-1]]) if good else None
+    # A little lower: sums of the same leaves may differ in the last bit.
+    return float(scores[order][good[-1]]) - 1e-9 if good else None
 
 
 def fit_logistic(features: np.ndarray, labels: np.ndarray, decay: float = 1e-3, steps: int = 30) -> np.ndarray:

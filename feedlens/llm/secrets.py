@@ -63,7 +63,7 @@ def _spans(text: Column, pattern: str) -> Column:
 
 def _entropy_step(window: int):
     """One character enters the window, one may leave; ``bits`` is the sum of n log2 n over the counts."""
-    weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 1)])
+    weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 2)])
 
     def changed(counts: Column, slot: Column, by: int) -> Column:
         return F.concat(F.slice(counts, F.lit(1), slot), F.array(F.get(counts, slot) + by), F.slice(counts, slot + 2, F.lit(len(ALPHABET))))

@@ -33,6 +33,8 @@ TOP, EVERY, SCALE = 20, 20, 64
 QUERY_BLOCK, SEEDS = 8192, 2048
 #: Points in one cover tree of a task, and in a leaf.
 TREE, LEAF = 16_384, 64
+#: Queries in a leaf: few, so that its worst score says much.
+QUERY_LEAF = 16
 FANOUT = 8
 
 
@@ -46,14 +48,14 @@ class Node:
     children: list[Node]
 
 
-def cover_tree(points: np.ndarray, rows: np.ndarray | None = None) -> Node:
+def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = LEAF) -> Node:
     """Nested covers: each node's points go to the nearest of a few of them that lie far apart."""
     rows = np.arange(len(points)) if rows is None else rows
     own = points[rows]
     center = own.mean(axis=0) if len(rows) else np.zeros(points.shape[1])
     # A little more than computed, for the rounding of the norms.
     radius = float(np.sqrt(((own - center) ** 2).sum(axis=1).max(initial=0.0))) * (1 + 1e-9) + 1e-9
-    if len(rows) <= LEAF or radius <= 1e-6:
+    if len(rows) <= leaf or radius <= 1e-6:
         return Node(center, radius, rows, [])
     apart, chosen, nearest = np.full(len(rows), np.inf), [], np.zeros(len(rows), int)
     far = int(((own - center) ** 2).sum(axis=1).argmax())
@@ -67,13 +69,18 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None) -> Node:
     parts = [part for part in parts if len(part)]
     if len(parts) < 2:
         return Node(center, radius, rows, [])
-    return Node(center, radius, rows, [cover_tree(points, part) for part in parts])
+    return Node(center, radius, rows, [cover_tree(points, part, leaf) for part in parts])
 
 
 def _most(query: Node, point: Node) -> float:
     """No pair of the two nodes has a larger inner product."""
     sizes = np.linalg.norm(query.center) * point.radius + np.linalg.norm(point.center) * query.radius
-    return (float(query.center @ point.center) + sizes + query.radius * point.radius) * 1.0 + 1e-6 * (1 + sizes)
+    return (float(query.center @ point.center) + sizes + query.radius * point.radius) + 1e-6 * (1 + sizes)
+
+
+def _share(fixed: Node, open_: Node) -> float:
+    """What the second node's radius adds to the largest inner product."""
+    return float(np.linalg.norm(fixed.center)) * open_.radius
 
 
 class Best:
@@ -116,7 +123,7 @@ def dual_search(queries: np.ndarray, query_tree: Node, points: np.ndarray, best:
         if not query.children and not point.children:
             for row, scores in zip(query.rows, products(queries[query.rows], points[point.rows]), strict=True):
                 best.offer(int(row), scores, point.rows + offset)
-        elif point.children and (not query.children or point.radius >= query.radius):
+        elif point.children and (not query.children or _share(query, point) >= _share(point, query)):
             # The most promising child last, so that it is searched first and raises the bounds.
             stack += [(query, child) for child in sorted(point.children, key=lambda child: float(query.center @ child.center))]
         else:
@@ -166,7 +173,7 @@ def _query_block(rows: list, width: int, seeds: np.ndarray, top: int) -> tuple:
     bounds = np.full(len(rows), np.iinfo(np.int64).min)
     if len(seeds) >= top:
         bounds = np.partition(products(queries, seeds), len(seeds) - top, axis=1)[:, len(seeds) - top]
-    return [row["point"] for row in rows], queries, cover_tree(queries.astype(float)), bounds
+    return [row["point"] for row in rows], queries, cover_tree(queries.astype(float), leaf=QUERY_LEAF), bounds
 
 
 def nearest(
