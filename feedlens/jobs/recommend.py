@@ -27,7 +27,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--min-events", type=positive,
                         default=int(env("RECOMMENDATION_MIN_EVENTS", str(DEFAULTS.min_events))))
     parser.add_argument("--model-version", default=env("RECOMMENDATION_MODEL_VERSION", DEFAULTS.model_version))
-    parser.add_argument("--fallback-pool-size", type=positive, default=DEFAULTS.pool_size)
+    parser.add_argument("--fallback-pool-size", type=positive, default=None,
+                        help="articles of the global fallback; all of them by default")
     parser.add_argument("--rank", type=positive, default=DEFAULTS.rank)
     parser.add_argument("--max-iter", type=positive, default=DEFAULTS.max_iter)
     parser.add_argument("--reg-param", type=float, default=DEFAULTS.reg_param)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,74 +11,78 @@ from pyspark.sql import functions as F
 from feedlens import schemas as S
 from feedlens.operators.ranking import top_per_key, with_positions
 from feedlens.operators.recommend import RecommendationSettings
-from feedlens.session import enable_checkpoints
-
-INT_MAX = 2**31 - 1
+from feedlens.session import enable_checkpoints, written_table
 
 
-def _id_maps(ratings: DataFrame) -> list[DataFrame | None]:
-    """Dense int ids of users and articles, None for a column that is int-sized already
-    (the factorisation takes 32-bit ids only)."""
-    columns = ("user_id", "article_id")
-    bounds = ratings.agg(*[bound(column) for column in columns for bound in (F.min, F.max)]).first()
+def _id_maps(ratings: DataFrame) -> list[DataFrame]:
+    """Dense int ids of users and articles (the factorisation takes 32-bit ids only)."""
     return [
-        None if -INT_MAX <= low and high <= INT_MAX
-        else with_positions(ratings.select(column).distinct(), [], [F.asc(column)], f"_{column}")
-        for column, low, high in zip(columns, bounds[::2], bounds[1::2])
+        with_positions(ratings.select(column).distinct(), [], [F.asc(column)], f"_{column}")
+        for column in ("user_id", "article_id")
     ]
 
 
-def _encode(df: DataFrame, column: str, ids: DataFrame | None) -> DataFrame:
-    if ids is None:
-        return df.withColumn(column, F.col(column).cast("int"))
+def _encode(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return df.join(ids, column).withColumn(column, F.col(f"_{column}").cast("int")).drop(f"_{column}")
 
 
-def _decode(df: DataFrame, column: str, ids: DataFrame | None) -> DataFrame:
-    if ids is None:
-        return df.withColumn(column, F.col(column).cast("long"))
+def _decode(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     back = ids.select(F.col(column).alias("_original"), F.col(f"_{column}").cast("int").alias(column))
     return df.join(back, column).withColumn(column, F.col("_original")).drop("_original")
 
 
 def fit_als(triples: DataFrame, settings: RecommendationSettings) -> ALSModel:
-    """Train on (user_id int, article_id int, rating float).
-
-    The seed is fixed; the block count follows the cluster, since it bounds how many
-    tasks share a factor update.
-    """
+    """Train on (user_id int, article_id int, rating float), with a fixed seed and number of blocks."""
     enable_checkpoints(triples.sparkSession)
-    blocks = max(10, triples.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
         userCol="user_id", itemCol="article_id", ratingCol="rating", implicitPrefs=True,
         nonnegative=True, coldStartStrategy="drop", rank=settings.rank, maxIter=settings.max_iter,
         regParam=settings.reg_param, alpha=settings.alpha, seed=settings.seed,
-        numUserBlocks=blocks, numItemBlocks=blocks,
+        numUserBlocks=settings.blocks, numItemBlocks=settings.blocks,
     )
     return als.fit(triples)
 
 
+def _asked_lists(model: ALSModel, asked: DataFrame, read: DataFrame, top_n: int) -> DataFrame:
+    """The model's best articles of each asked user, enough that ``top_n`` unread ones are among them.
+
+    Users are asked for by classes of the number of articles they have read, 2^k - 1 at most in
+    class k: so many more articles than ``top_n`` are fetched, and few calls serve all users.
+    """
+    counts = asked.join(read.groupBy("user_id").agg(F.count("*").alias("_read")), "user_id")
+    classed = counts.select("user_id", F.length(F.bin("_read")).alias("_class")).persist()
+    try:
+        classes = sorted(row["_class"] for row in classed.select("_class").distinct().collect())  # 64 at most
+        lists = [
+            written_table(model.recommendForUserSubset(
+                classed.where(F.col("_class") == number).select("user_id"), top_n + 2**number - 1
+            ).select("user_id", F.inline("recommendations")), "als-lists")
+            for number in classes
+        ]
+    finally:
+        classed.unpersist()
+    return reduce(DataFrame.unionByName, lists)
+
+
 def als_candidates(ratings: DataFrame, eligible: DataFrame, articles: DataFrame,
                    settings: RecommendationSettings) -> DataFrame:
     """The best ``top_n`` unread known articles of each eligible user.
 
-    ``ratings`` should be persisted: the fit and the exclusion both read it.
+    Ratings of unknown articles are left out before the fit, so that they take no places.
     """
-    spark = ratings.sparkSession
-    if ratings.isEmpty() or eligible.isEmpty():
-        return spark.createDataFrame([], S.CANDIDATES)
-    user_ids, item_ids = _id_maps(ratings)
-    triples = _encode(_encode(ratings, "user_id", user_ids), "article_id", item_ids).select(
+    known = ratings.join(articles.select("article_id"), "article_id", "left_semi")
+    served = eligible.join(known, "user_id", "left_semi")
+    if served.isEmpty():
+        return ratings.sparkSession.createDataFrame([], S.CANDIDATES)
+    user_ids, item_ids = _id_maps(known)
+    triples = written_table(_encode(_encode(known, "user_id", user_ids), "article_id", item_ids).select(
         "user_id", "article_id", F.col("rating").cast("float").alias("rating")
-    )
+    ), "als-ratings")
     model = fit_als(triples, settings)
-    asked = _encode(eligible.select("user_id"), "user_id", user_ids)
-    lists = model.recommendForUserSubset(asked, settings.over_fetch)
-    offers = lists.select("user_id", F.inline("recommendations"))
-    offers = _decode(_decode(offers, "user_id", user_ids), "article_id", item_ids)
+    asked = _encode(served.select("user_id"), "user_id", user_ids)
+    offers = _asked_lists(model, asked, triples, settings.top_n).join(triples.drop("rating"), ["user_id", "article_id"], "left_anti")
     unread = (
-        offers.join(ratings.select("user_id", "article_id"), ["user_id", "article_id"], "left_anti")
-        .join(articles.select("article_id"), "article_id", "left_semi")
+        _decode(_decode(offers, "user_id", user_ids), "article_id", item_ids)
         .select(
             "user_id", "article_id", F.col("rating").cast("double").alias("score"),
             F.lit(S.REASON_ALS).alias("reason"),

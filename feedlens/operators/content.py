@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.operators.ranking import paged, top_per_key
+from feedlens.operators.ranking import left_join_spread, paged, top_per_key, total_order
 
 NEWEST_FIRST = ("published_at", "article_id")
 LIST_COLUMNS = ("article_id", "title", "summary", "source_url", "category_id", "author",
@@ -183,10 +183,12 @@ def subscriptions_from(events: DataFrame) -> DataFrame:
 
 # --- insert-if-absent and article change sets -------------------------------
 def add_missing(existing: DataFrame, wanted: DataFrame, natural_key: str) -> DataFrame:
-    """Existing rows plus the wanted ones whose natural key is new (idempotent seed)."""
-    fresh = wanted.dropDuplicates([natural_key]).join(
-        existing.select(natural_key), natural_key, "left_anti"
-    )
+    """Existing rows plus the wanted ones whose natural key is new (idempotent seed).
+
+    Of repeated wanted keys the first row in the order of all columns is inserted.
+    """
+    first = top_per_key(wanted, [natural_key], total_order(wanted), 1)
+    fresh = first.join(existing.select(natural_key), natural_key, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
@@ -198,7 +200,7 @@ def apply_article_changes(articles: DataFrame, changes: DataFrame, categories: D
     new field values and ``set_fields``, the names a patch supplies. Checks run against
     the table as it was: a category must exist, a patched or deleted article must exist,
     a created one must not, and a source_url may not belong to another article or be
-    claimed twice in the set (the lowest article_id gets it).
+    claimed twice among the changes that pass the checks before (the lowest article_id gets it).
     """
     known_categories = categories.select(
         F.col("category_id").alias("_category"), F.lit(True).alias("category_known")
@@ -214,27 +216,23 @@ def apply_article_changes(articles: DataFrame, changes: DataFrame, categories: D
     claimed = changes.withColumn("_claim", claims).withColumn(
         "_claimed_category", F.when(sets_category, F.col("category_id"))
     )
-    first_claim = claimed.where(F.col("_claim").isNotNull()).groupBy(
-        F.col("_claim").alias("_claim_url")
-    ).agg(F.min("article_id").alias("_winner"))
     owners = stored.where(F.col("_stored_url").isNotNull()).select(
         F.col("_stored_url").alias("_owned_url"), F.col("_stored_id").alias("_owner")
     )
+    found = claimed.join(stored.select("_stored_id"), F.col("article_id") == F.col("_stored_id"), "left")
+    found = left_join_spread(found, known_categories, "_claimed_category", "_category", "article_id")
+    own_fault = (
+        F.when((F.col("op") != "create") & F.col("_stored_id").isNull(), F.lit("article_not_found"))
+        .when((F.col("op") == "create") & F.col("_stored_id").isNotNull(), F.lit("article_exists"))
+        .when(F.col("_claimed_category").isNotNull() & F.col("category_known").isNull(), F.lit("category_not_found"))
+    )
+    found = left_join_spread(found.withColumn("_fault", own_fault), owners, "_claim", "_owned_url", "article_id")
+    sound = found.where(F.col("_fault").isNull() & F.col("_claim").isNotNull())
+    first_claim = sound.groupBy(F.col("_claim").alias("_claim_url")).agg(F.min("article_id").alias("_winner"))
+    taken = (F.col("_owner") != F.col("article_id")) | (F.col("_winner") != F.col("article_id"))
     checked = (
-        claimed
-        .join(stored.select("_stored_id"), F.col("article_id") == F.col("_stored_id"), "left")
-        .join(known_categories, F.col("_claimed_category") == F.col("_category"), "left")
-        .join(owners, F.col("_claim") == F.col("_owned_url"), "left")
-        .join(first_claim, F.col("_claim") == F.col("_claim_url"), "left")
-        .withColumn(
-            "conflict",
-            F.when((F.col("op") != "create") & F.col("_stored_id").isNull(), F.lit("article_not_found"))
-            .when((F.col("op") == "create") & F.col("_stored_id").isNotNull(), F.lit("article_exists"))
-            .when(F.col("_claimed_category").isNotNull() & F.col("category_known").isNull(),
-                  F.lit("category_not_found"))
-            .when((F.col("_owner") != F.col("article_id")) | (F.col("_winner") != F.col("article_id")),
-                  F.lit("source_url_taken")),
-        )
+        left_join_spread(found, first_claim, "_claim", "_claim_url", "article_id")
+        .withColumn("conflict", F.coalesce("_fault", F.when(taken, F.lit("source_url_taken"))))
         .select(*changes.columns, "conflict")
     )
     accepted = checked.where(F.col("conflict").isNull()).drop("conflict")

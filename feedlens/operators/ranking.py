@@ -34,6 +34,18 @@ def total_order(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
     ]
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: str) -> DataFrame:
+    """Left join on one key; rows without a key, which match nothing, are dealt by ``spread``
+    instead of meeting in one task."""
+    salt = F.when(F.col(left_key).isNull(), F.xxhash64(spread)).otherwise(F.lit(0))
+    # Always 0, but not for the optimiser, which would take the salt out of the shuffle.
+    zero = F.pmod(F.xxhash64(right_key), F.lit(1))
+    joined = left.withColumn("_salt", salt).join(
+        right.withColumn("_zero", zero), (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_zero")), "left"
+    )
+    return joined.drop("_salt", "_zero")
+
+
 def paged(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0,
           with_total: bool = True) -> DataFrame:
     """One page in the given (total) order, with the size of the whole result.
@@ -75,15 +87,18 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         *keys, "_part", "_first",
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
     )
-    return (
-        ordered.join(offsets, [*keys, "_part"])
-        .withColumn(position, (F.col("_row") - F.col("_first") + F.col("_before") + 1).cast("long"))
-        .drop("_row", "_part", "_first", "_before")
+    # NULL is a key like any other.
+    offsets = offsets.select(*[F.col(key).alias(f"_of_{key}") for key in keys], F.col("_part").alias("_of"), "_first", "_before")
+    same = F.col("_part") == F.col("_of")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return ordered.join(offsets, same).select(
+        *df.columns, (F.col("_row") - F.col("_first") + F.col("_before") + 1).cast("long").alias(position)
     )
 
 
 def first_free_positions(taken: DataFrame, owners: DataFrame, keys: Sequence[str], n: int,
-                         highest: int | None = None, block: int = 1 << 14) -> DataFrame:
+                         block: int = 1 << 14) -> DataFrame:
     """For every owner its first ``n`` positions not taken: rows (keys, position).
 
     ``taken`` has distinct (keys, position) rows, ``owners`` distinct keys. With the
@@ -91,17 +106,12 @@ def first_free_positions(taken: DataFrame, owners: DataFrame, keys: Sequence[str
     taken one, so the j-th free position is j plus the number of taken ones with fewer
     than j free ones before them.
 
-    An owner may have taken almost everything. Unless ``highest`` bounds the positions,
-    they are therefore numbered in blocks: per-block counts give the number before each
+    An owner may have taken almost everything. Positions are therefore numbered in blocks: per-block counts give the number before each
     block, only blocks that can still hold one of the first ``n`` free positions are
     looked into, and no window group exceeds ``block`` rows.
     """
     keys = list(keys)
-    if highest is not None and highest <= block:
-        in_order = Window.partitionBy(*keys).orderBy("position")
-        marks = taken.select(*keys, "position").withColumn("_nth", F.row_number().over(in_order))
-    else:
-        marks = _numbered_in_blocks(taken.select(*keys, "position"), keys, n, block)
+    marks = _numbered_in_blocks(taken.select(*keys, "position"), keys, n, block)
     # At most n groups per owner.
     steps = (
         marks.withColumn("_free", F.col("position") - F.col("_nth"))

@@ -188,16 +188,18 @@ _CHANGES = """changes AS (SELECT CASE WHEN n % 4 = 0 THEN n + 1000000 ELSE n * 3
     CASE WHEN n % 7 = 0 THEN 999 ELSE category_id END AS category_id, published_at, popularity_score,
     n % 4 = 2 AS sets_url, n % 4 = 3 AS sets_category
   FROM (SELECT *, article_id AS n FROM long_articles)),
-  judged AS (SELECT c.*, CASE
+  checked AS (SELECT c.*, CASE
       WHEN op <> 'create' AND a.article_id IS NULL THEN 'article_not_found'
       WHEN op = 'create' AND a.article_id IS NOT NULL THEN 'article_exists'
       WHEN (op = 'create' OR sets_category) AND c.category_id NOT IN (SELECT category_id FROM feed_categories)
-        THEN 'category_not_found'
+        THEN 'category_not_found' END AS fault
+    FROM changes c LEFT JOIN feed_articles a ON a.article_id = c.article_id),
+  judged AS (SELECT c.*, coalesce(fault, CASE
       WHEN (op = 'create' OR sets_url) AND (EXISTS (SELECT 1 FROM feed_articles o
           WHERE o.source_url = c.source_url AND o.article_id <> c.article_id)
-        OR EXISTS (SELECT 1 FROM changes x WHERE x.source_url = c.source_url AND (x.op = 'create' OR x.sets_url)
-          AND x.article_id < c.article_id)) THEN 'source_url_taken' END AS conflict
-    FROM changes c LEFT JOIN feed_articles a ON a.article_id = c.article_id)"""
+        OR EXISTS (SELECT 1 FROM checked x WHERE x.fault IS NULL AND x.source_url = c.source_url
+          AND (x.op = 'create' OR x.sets_url) AND x.article_id < c.article_id)) THEN 'source_url_taken' END) AS conflict
+    FROM checked c)"""
 
 
 @query("article_change_conflicts", f"""SELECT article_id, op, conflict FROM (WITH {_CHANGES}

@@ -12,13 +12,35 @@ from feedlens.operators.events import dedupe_events
 from feedlens.plans.recommendation_batch import recommend
 from feedlens.plans.registry import Tables, query
 from feedlens.plans.views import RATING
-from feedlens.session import run_folder
-from feedlens.sources.sinks import write_recommendations
+from feedlens.session import run_folder, written_table
+from feedlens.sources.sinks import stored_versions, write_recommendations
 
 SETTINGS = R.RecommendationSettings()
-# Every user of the small tables with any rating has five rated events; a higher bar
-# leaves some of them to the fallbacks.
-PICKY = R.RecommendationSettings(min_events=30)
+# Ratings in which every tenth user has read nearly all articles.
+HEAVY = """heavy AS (SELECT u.user_id, a.article_id FROM active_users u CROSS JOIN feed_articles a
+    WHERE u.user_id % 10 = 0 AND a.article_id % 40 <> u.user_id % 40),
+  all_ratings AS (SELECT user_id, article_id, max(rating) AS rating, max(events_count) AS events_count FROM (
+    SELECT user_id, article_id, rating, events_count FROM ratings UNION ALL SELECT user_id, article_id, 1.0, 1 FROM heavy)
+    GROUP BY ALL)"""
+# What the model has to list: every eligible user's ten, or all, unread articles that anyone has rated.
+EXPECTED = """eligible AS (SELECT user_id FROM active_users JOIN {ratings} USING (user_id) GROUP BY 1 HAVING sum(events_count) >= 5),
+  known AS (SELECT user_id, article_id FROM {ratings} SEMI JOIN feed_articles USING (article_id)),
+  listed AS (SELECT user_id, least(10, (SELECT count(DISTINCT article_id) FROM known) - count(DISTINCT article_id)) AS n
+    FROM eligible JOIN known USING (user_id) GROUP BY 1)"""
+
+
+def _with_articles(t: Tables, users):
+    """Every article for each of some users, by the remainders of the article ids."""
+    rest = users.withColumn("rest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(39).cast("long"))))
+    return rest.join(t.articles.select("article_id", (F.col("article_id") % 40).alias("rest")), "rest").drop("rest")
+
+
+def _heavy_ratings(t: Tables):
+    heavy = _with_articles(t, R.active_users(t.users).where("user_id % 10 = 0")).where(
+        F.col("user_id") % 40 != F.col("article_id") % 40
+    ).select("user_id", "article_id", F.lit(1.0).alias("rating"), F.lit(1).cast("long").alias("events_count"))
+    both = t.ratings.unionByName(heavy).groupBy("user_id", "article_id")
+    return both.agg(F.max("rating").alias("rating"), F.max("events_count").alias("events_count"))
 
 
 @query("active_users", "SELECT user_id FROM active_users")
@@ -59,7 +81,7 @@ def user_event_counts(t: Tables):
 @query("eligible_users", """SELECT user_id FROM active_users JOIN ratings USING (user_id)
   GROUP BY 1 HAVING sum(events_count) >= 30""")
 def eligible(t: Tables):
-    return R.eligible_users(R.user_event_counts(R.active_users(t.users), t.ratings), PICKY.min_events)
+    return R.eligible_users(R.user_event_counts(R.active_users(t.users), t.ratings), 30)
 
 
 def _popularity(t: Tables):
@@ -72,21 +94,41 @@ def popularity(t: Tables):
 
 
 @query("global_pool", """SELECT article_id, fallback_score, row_number() OVER (ORDER BY fallback_score DESC,
-    published_at DESC, article_id) AS position FROM popularity ORDER BY position LIMIT 200""")
+    published_at DESC, article_id) AS position FROM popularity ORDER BY position""")
 def global_pool(t: Tables):
-    return R.global_pool(_popularity(t), SETTINGS.pool).select("article_id", "fallback_score", "position")
+    return R.global_pool(_popularity(t)).select("article_id", "fallback_score", "position")
 
 
 @query("fallback_recommendations", """SELECT user_id, article_id, score, reason, 'als-v1' AS model_version,
     source_priority FROM fallback""")
 def fallback(t: Tables):
-    rated, pairs = t.ratings.persist(), R.subscription_pairs(t.subscriptions).persist()
+    return _fallback(t, t.ratings)
+
+
+def _fallback(t: Tables, ratings):
+    rated, pairs = written_table(ratings, "ratings"), written_table(R.subscription_pairs(t.subscriptions), "pairs")
     return R.fallback_candidates(
-        R.active_users(t.users), pairs, R.article_popularity(R.article_features(t.articles), rated),
+        written_table(R.active_users(t.users), "users"), pairs,
+        written_table(R.article_popularity(R.article_features(t.articles), rated), "popularity"),
         rated.select("user_id", "article_id"), SETTINGS,
     )
 
 
+@query("fallback_without_pool_cap", f"""SELECT user_id, article_id, score, reason, source_priority FROM (WITH {HEAVY},
+  popular AS (SELECT a.article_id, category_id, CAST(coalesce(sum(rating), 0) AS DOUBLE)
+      + coalesce(popularity_score, 0) * CAST(0.1 AS DOUBLE) AS score
+    FROM feed_articles a LEFT JOIN all_ratings r USING (article_id) GROUP BY a.article_id, category_id, popularity_score),
+  open AS (SELECT u.user_id, p.*, s.user_id IS NOT NULL AS wanted FROM active_users u CROSS JOIN popular p
+    LEFT JOIN subscriptions s ON s.user_id = u.user_id AND s.category_id = p.category_id
+    ANTI JOIN all_ratings r ON r.user_id = u.user_id AND r.article_id = p.article_id)
+  SELECT user_id, article_id, score, CASE WHEN wanted THEN 'fallback_subscribed_category' ELSE 'fallback_global_popular' END AS reason,
+    CASE WHEN wanted THEN 2 ELSE 3 END AS source_priority,
+    row_number() OVER (PARTITION BY user_id ORDER BY wanted DESC, score DESC, article_id) AS place FROM open) WHERE place <= 10""")
+def fallback_without_pool_cap(t: Tables):
+    """Users who have read nearly all articles still get ten of the rest."""
+    return _fallback(t, _heavy_ratings(t)).drop("model_version")
+
+
 @query("combine_with_given_scores", """SELECT user_id, article_id, score, reason, 'als-v1' AS model_version FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY source_priority, score DESC, article_id) AS place
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id, article_id
@@ -105,45 +147,60 @@ def combine(t: Tables):
     return R.combine_candidates(given, fallback(t), SETTINGS)
 
 
-def _als(t: Tables):
-    rated = t.ratings.persist()
+def _als(t: Tables, ratings):
+    rated = written_table(ratings, "ratings")
     counts = R.user_event_counts(R.active_users(t.users), rated)
-    return als_candidates(rated, R.eligible_users(counts, PICKY.min_events), t.articles, PICKY)
+    return als_candidates(rated, R.eligible_users(counts, SETTINGS.min_events), t.articles, SETTINGS)
 
 
 @query("als_recommendations")
 def als(t: Tables):
-    return _als(t)
+    return _als(t, t.ratings)
 
 
-@query("als_recommendation_checks", """SELECT (SELECT count(*) FROM (SELECT user_id FROM active_users
-      JOIN ratings USING (user_id) GROUP BY 1 HAVING sum(events_count) >= 30)) AS eligible_count,
-    0 AS other_users, 0 AS read_articles, 0 AS unknown_articles, 0 AS crowded_users, 0 AS negative_scores""")
-def als_checks(t: Tables):
-    """Only eligible users are served, with no read or unknown article, ten at most."""
-    rows = _als(t).persist()
-    people = eligible(t)
+def _als_checks(t: Tables, ratings):
+    """Counts of the users served and of their rows, and of rows that must not be there."""
+    rated = written_table(ratings, "ratings")
+    rows = written_table(_als(t, rated), "als-rows")
+    known = written_table(rated.join(t.articles, "article_id", "left_semi"), "known")
+    people = R.eligible_users(R.user_event_counts(R.active_users(t.users), rated), SETTINGS.min_events)
+    served = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("score") < 0).alias("negative"))
 
     def size(df):
-        return df.select(F.count("*").alias("n")).scalar()
+        return df.select(F.count("*").cast("int").alias("n")).scalar()
 
-    per_user = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("score") < 0).alias("negative"))
-    return per_user.agg(
-        F.count_if(F.col("n") > PICKY.top_n).cast("int").alias("crowded_users"),
+    return served.agg(
+        F.count("*").alias("served_users"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_count"),
         F.coalesce(F.sum("negative"), F.lit(0)).cast("int").alias("negative_scores"),
     ).select(
-        size(people).alias("eligible_count"),
-        size(rows.join(people, "user_id", "left_anti")).cast("int").alias("other_users"),
-        size(rows.join(t.ratings, ["user_id", "article_id"], "left_semi")).cast("int").alias("read_articles"),
-        size(rows.join(t.articles, "article_id", "left_anti")).cast("int").alias("unknown_articles"),
-        "crowded_users", "negative_scores",
+        "served_users", "rows_count", "negative_scores",
+        size(rows.join(people, "user_id", "left_anti")).alias("other_users"),
+        size(rows.join(rated, ["user_id", "article_id"], "left_semi")).alias("read_articles"),
+        size(rows.join(known, "article_id", "left_anti")).alias("unknown_articles"),
+        size(rows.groupBy("user_id", "article_id").count().where("count > 1")).alias("repeated_articles"),
     )
 
 
+_ALS_CHECKS = """(WITH {more} {expected} SELECT count(*) FILTER (n > 0) AS served_users, CAST(sum(n) AS BIGINT) AS rows_count,
+    0 AS negative_scores, 0 AS other_users, 0 AS read_articles, 0 AS unknown_articles, 0 AS repeated_articles FROM listed)"""
+
+
+@query("als_recommendation_checks", f"SELECT * FROM {_ALS_CHECKS.format(more='', expected=EXPECTED.format(ratings='ratings'))}")
+def als_checks(t: Tables):
+    """Every eligible user gets ten unread known articles, or all there are."""
+    return _als_checks(t, t.ratings)
+
+
+@query("als_heavy_reader_checks", f"SELECT * FROM {_ALS_CHECKS.format(more=HEAVY + ',', expected=EXPECTED.format(ratings='all_ratings'))}")
+def als_heavy_checks(t: Tables):
+    """The same where every tenth user has read nearly everything."""
+    return _als_checks(t, _heavy_ratings(t))
+
+
 def _final(t: Tables):
     return recommend(
-        R.active_users(t.users), R.article_features(t.articles),
-        R.subscription_pairs(t.subscriptions).persist(), t.ratings.persist(), PICKY,
+        written_table(R.active_users(t.users), "users"), written_table(R.article_features(t.articles), "features"),
+        written_table(R.subscription_pairs(t.subscriptions), "pairs"), written_table(t.ratings, "ratings"), SETTINGS,
     )
 
 
@@ -152,16 +209,18 @@ def final(t: Tables):
     return _final(t)
 
 
-@query("final_recommendation_checks", """SELECT count(*) AS users_count, CAST(count(*) * 10 AS BIGINT) AS rows_count,
-    0 AS read_articles, 0 AS repeated_articles FROM active_users""")
+@query("final_recommendation_checks", f"""SELECT * FROM (WITH {EXPECTED.format(ratings='ratings')}
+  SELECT (SELECT count(*) FROM active_users) AS users_count, (SELECT CAST(count(*) * 10 AS BIGINT) FROM active_users) AS rows_count,
+    CAST(sum(n) AS BIGINT) AS model_rows, 0 AS read_articles, 0 AS repeated_articles FROM listed)""")
 def final_checks(t: Tables):
-    """Ten different unread articles for every active user."""
-    per_pair = _final(t).groupBy("user_id", "article_id").agg(F.count("*").alias("n"))
+    """Ten different unread articles for every active user, the model's first."""
+    per_pair = _final(t).groupBy("user_id", "article_id").agg(
+        F.count("*").alias("n"), F.count_if(F.col("reason") == S.REASON_ALS).alias("by_model"))
     marked = per_pair.join(
         t.ratings.select("user_id", "article_id", F.lit(1).alias("read")), ["user_id", "article_id"], "left"
     )
     return marked.agg(
-        F.countDistinct("user_id").alias("users_count"), F.sum("n").alias("rows_count"),
+        F.countDistinct("user_id").alias("users_count"), F.sum("n").alias("rows_count"), F.sum("by_model").alias("model_rows"),
         F.count("read").cast("int").alias("read_articles"),
         F.count_if(F.col("n") > 1).cast("int").alias("repeated_articles"),
     )
@@ -197,11 +256,33 @@ def stored_of_version(t: Tables):
         ORDER BY score DESC, created_at DESC, article_id, model_version) AS place FROM stored_recs) r
     JOIN feed_articles a ON a.article_id = r.article_id
     LEFT JOIN affinities f ON f.user_id = r.user_id AND f.category_id = a.category_id
-    WHERE place <= 100)) WHERE rank > 5 AND rank <= 15""")
+    )) WHERE rank > 5 AND rank <= 15""")
 def rerank(t: Tables):
     return R.rerank(t.stored_recommendations, affinities(t), t.articles, limit=10, offset=5)
 
 
+_MANY = """many AS (SELECT u.user_id, a.article_id, CAST(-a.article_id AS DOUBLE) AS score, 'seeded' AS reason,
+    'als-v1' AS model_version, TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM active_users u CROSS JOIN feed_articles a
+    WHERE u.user_id % 20 = 0)"""
+
+
+@query("rerank_beyond_100", f"""SELECT * FROM (WITH {_MANY}
+  SELECT user_id, article_id, title, category_id, score, reason, model_version, created_at, total,
+    row_number() OVER (PARTITION BY user_id ORDER BY score DESC, article_id) AS rank FROM (
+    SELECT m.user_id, m.article_id, title, a.category_id, model_version, created_at, count(*) OVER (PARTITION BY m.user_id) AS total,
+      CASE WHEN affinity > 0 THEN round(score + affinity, 4) ELSE score END AS score,
+      CASE WHEN affinity > 0 THEN 'personalized_recent_activity' ELSE reason END AS reason
+    FROM many m JOIN feed_articles a ON a.article_id = m.article_id
+    LEFT JOIN affinities f ON f.user_id = m.user_id AND f.category_id = a.category_id)) WHERE rank > 100 AND rank <= 120""")
+def rerank_beyond(t: Tables):
+    """A late page over all stored rows of users with many."""
+    many = _with_articles(t, R.active_users(t.users).where("user_id % 20 = 0")).select(
+        "user_id", "article_id", (-F.col("article_id")).cast("double").alias("score"), F.lit("seeded").alias("reason"),
+        F.lit("als-v1").alias("model_version"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
+    )
+    return R.rerank(many, affinities(t), t.articles, limit=20, offset=100)
+
+
 @query("recommendations_with_articles", """SELECT user_id, article_id, model_version, score, title, summary,
     name AS category_name FROM stored_recs JOIN feed_articles USING (article_id)
   LEFT JOIN feed_categories USING (category_id)""")
@@ -234,6 +315,19 @@ def replace_empty(t: Tables):
     return R.replace_recommendations(t.stored_recommendations, _renewed(t).where("score < 0"), "als-v1")
 
 
+@query("recommendation_store_empty", """SELECT 0 AS stored_before, 0 AS stored_after""")
+def recommendation_store_empty(t: Tables):
+    """An empty first result stores nothing, and reading the store then gives no rows."""
+    path = run_folder(t.spark, "recommendations")
+
+    def size():
+        return stored_versions(t.spark, path).select(F.count("*").cast("int").alias("n")).scalar()
+
+    before = size()
+    write_recommendations(_renewed(t).where("score < 0"), path)
+    return t.spark.range(1).select(before.alias("stored_before"), size().alias("stored_after"))
+
+
 @query("recommendation_store", _REPLACED)
 def recommendation_store(t: Tables):
     """The same through files: one directory per model version, replaced as a whole."""

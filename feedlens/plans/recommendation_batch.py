@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlens.operators import recommend as R
 from feedlens.operators.als import als_candidates
-from feedlens.sources.sinks import write_recommendations
+from feedlens.sources.sinks import stored_versions, write_recommendations
 
 DEFAULTS = R.RecommendationSettings()
 
@@ -47,7 +47,7 @@ def run_recommendations(users: DataFrame, articles: DataFrame, subscriptions: Da
             raise ValueError("no articles")
         result = recommend(*inputs, settings).withColumn("created_at", F.current_timestamp())
         write_recommendations(result, path)
-        stored = users.sparkSession.read.parquet(path).where(F.col("model_version") == settings.model_version)
+        stored = stored_versions(users.sparkSession, path).where(F.col("model_version") == settings.model_version)
         return {"users": people.count(), "ratings": ratings.count(), "recommendations": stored.count()}
     finally:
         for df in inputs:

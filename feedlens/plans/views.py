@@ -134,7 +134,7 @@ VIEWS = {
       WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = s.user_id
         AND r.article_id = p.article_id))""",
     "pool": """SELECT article_id, fallback_score FROM popularity
-      ORDER BY fallback_score DESC, published_at DESC NULLS LAST, article_id LIMIT 200""",
+      ORDER BY fallback_score DESC, published_at DESC NULLS LAST, article_id""",
     "popular_ranked": """SELECT u.user_id, p.article_id, p.fallback_score AS score,
         'fallback_global_popular' AS reason, 3 AS source_priority
       FROM active_users u CROSS JOIN pool p

@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     # Hot join keys: AQE cuts a shuffle partition far above the median into
     # several tasks and repeats the matching rows of the other side.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Top-n per key cuts each map task's rows to n also for large n.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Windows and dedupe state outgrow the heap long before the cluster's disks.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

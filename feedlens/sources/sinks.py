@@ -58,6 +58,14 @@ def write_recommendations(df: DataFrame, path: str) -> None:
     replace_partitions(df, path, "model_version")
 
 
+def stored_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The stored recommendations; none before the first result."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], S.RECOMMENDATIONS)
+    return spark.read.schema(S.RECOMMENDATIONS).parquet(path)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, times to the microsecond."""
     df.write.mode("overwrite").option("timestampFormat", JSON_TIME).json(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feedlens import schemas as S
 from feedlens.functions import expressions as X
-from feedlens.operators.ranking import with_positions
+from feedlens.operators.ranking import left_join_spread, with_positions
 
 
 def synthetic_users(ids: DataFrame, id_col: str = "id", domain: str = "example.com") -> DataFrame:
@@ -110,7 +110,8 @@ def synthetic_events(rows: DataFrame, users: DataFrame, articles: DataFrame, now
     (article_id, category_id), within the 30 days before ``now``.
 
     Users, articles and categories are numbered once; a draw modulo their count picks a
-    number and an equi join finds the id. Draws are uniform, so no join key is hot.
+    number and an equi join finds the id. Draws are uniform, and rows without an article or
+    category are dealt by row, so no join key is hot.
     """
     key = F.col("row_id")
     numbered_users = with_positions(users.select("user_id"), [], [F.asc("user_id")], "user_no")
@@ -137,10 +138,12 @@ def synthetic_events(rows: DataFrame, users: DataFrame, articles: DataFrame, now
         .withColumn("category_no",
                     F.when(is_category, X.draw(seed, "category", key) % size(numbered_categories) + 1))
     )
-    linked = (
-        drawn.join(numbered_users, "user_no")
-        .join(numbered_articles, "article_no", "left")
-        .join(numbered_categories, "category_no", "left")
+    linked = left_join_spread(
+        drawn.join(numbered_users, "user_no"), numbered_articles.withColumnRenamed("article_no", "_article_no"),
+        "article_no", "_article_no", "row_id",
+    )
+    linked = left_join_spread(
+        linked, numbered_categories.withColumnRenamed("category_no", "_category_no"), "category_no", "_category_no", "row_id"
     )
     user = F.col("user_id")
     sessions = X.draw(seed, "sessions", user) % 7 + 2

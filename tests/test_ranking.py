@@ -34,9 +34,9 @@ def brute_free(taken, n):
     return free
 
 
-@pytest.mark.parametrize("highest", [None, 100])
+@pytest.mark.parametrize("block", [8, 1 << 14])
 @pytest.mark.parametrize("seed", range(3))
-def test_first_free_positions(spark, highest, seed):
+def test_first_free_positions(spark, block, seed):
     rng = random.Random(seed)
     taken = {
         1: set(range(1, 101)),                       # read everything
@@ -51,7 +51,7 @@ def test_first_free_positions(spark, highest, seed):
     rng.shuffle(rows)
     marks = spark.createDataFrame(rows, "owner INT, position BIGINT").repartition(3)
     owners = spark.createDataFrame([(o,) for o in taken], "owner INT")
-    found = first_free_positions(marks, owners, ["owner"], 4, highest=highest, block=128 if highest else 8)
+    found = first_free_positions(marks, owners, ["owner"], 4, block=block)
     got = {}
     for row in found.collect():
         got.setdefault(row.owner, []).append(row.position)
