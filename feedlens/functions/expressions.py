@@ -30,15 +30,25 @@ def weight(weights: Mapping[str, float], default: float | None, type_col: str =
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
+# Rows of a rollup stand for this many events.
+EVENTS = "n"
+
+
+def events_sum(condition: Column | None = None) -> Column:
+    """Aggregate: number of events over rollup rows, of those that meet the condition."""
+    own = F.col(EVENTS) if condition is None else F.when(condition, F.col(EVENTS))
+    return F.coalesce(F.sum(own), F.lit(0)).cast("long")
+
+
 def net_count(plus: str, minus: str | None = None, type_col: str = "event_type") -> Column:
-    """Aggregate: events of type ``plus`` less events of type ``minus``."""
-    total = F.count_if(F.col(type_col) == plus)
-    return total if minus is None else total - F.count_if(F.col(type_col) == minus)
+    """Aggregate over rollup rows: events of type ``plus`` less events of type ``minus``."""
+    total = events_sum(F.col(type_col) == plus)
+    return total if minus is None else total - events_sum(F.col(type_col) == minus)
 
 
-def score_sum(type_col: str = "event_type") -> Column:
-    """Aggregate: weighted engagement score, 0 for unrated types and empty input."""
-    return F.coalesce(F.sum(weight(S.RATING_WEIGHTS, 0.0, type_col)), F.lit(0.0))
+def score_sum(weights: Mapping[str, float] = S.RATING_WEIGHTS, type_col: str = "event_type") -> Column:
+    """Aggregate over rollup rows: weighted score, 0 for types without a weight and empty input."""
+    return F.coalesce(F.sum(weight(weights, 0.0, type_col) * F.col(EVENTS)), F.lit(0.0))
 
 
 def ratio_or_zero(clicked: Column, opened: Column) -> Column:

@@ -1,19 +1,22 @@
 """Engagement reports.
 
-Each report groups the events by key first (partial aggregation keeps hot keys small)
-and attaches names to the grouped rows. Names come from inner joins, so events of an
+Each report is a sum over a rollup of the events, which may be given instead of the events: a
+composed report reads them once. Names are attached to the grouped rows. Names come from inner joins, so events of an
 unknown category or article are left out; NULL users are not counted as users.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions import expressions as X
+from feedlens.operators.aggregates import DAY, report_rollup, rollup, with_members
+from feedlens.operators.events import choose_source, dedupe_events
 from feedlens.operators.ranking import top_per_key
+from feedlens.session import written_table
 
 OPENED = "open_recommendations"
 CLICKED = "open_recommended_article"
@@ -56,8 +59,8 @@ def favorite_categories(events: DataFrame, categories: DataFrame, user_id: int |
     linked = events.where(F.col("category_id").isNotNull() & F.col("user_id").isNotNull())
     if user_id is not None:
         linked = linked.where(F.col("user_id") == user_id)
-    grouped = linked.groupBy("user_id", "category_id").agg(
-        F.count("*").alias("events_count"), *_counters(), X.score_sum().alias("score")
+    grouped = rollup(linked, "user_id", "category_id", "event_type").groupBy("user_id", "category_id").agg(
+        X.events_sum().alias("events_count"), *_counters(), X.score_sum().alias("score")
     ).join(_category_names(categories), "category_id")
     order = [F.desc("score"), F.desc("events_count"), F.asc("category_id")]
     if user_id is not None:
@@ -87,10 +90,10 @@ def score_totals(scores: DataFrame, user_id: int | None = None) -> DataFrame:
 
 # --- top lists --------------------------------------------------------------
 def top_categories(events: DataFrame, categories: DataFrame, limit: int = 10) -> DataFrame:
-    grouped = events.where(F.col("category_id").isNotNull()).groupBy("category_id").agg(
-        F.count("*").alias("events_count"),
-        F.countDistinct("user_id").alias("unique_users_count"),
-        X.score_sum().alias("score"),
+    typed = rollup(events.where(F.col("category_id").isNotNull()), "category_id", "user_id", "event_type")
+    by_user = typed.groupBy("category_id", "user_id").agg(X.events_sum().alias(X.EVENTS), X.score_sum().alias("score"))
+    grouped = by_user.groupBy("category_id").agg(
+        X.events_sum().alias("events_count"), F.count("user_id").alias("unique_users_count"), F.sum("score").alias("score")
     )
     return grouped.join(_category_names(categories), "category_id").orderBy(
         F.desc("score"), F.desc("events_count"), F.asc("category_id")
@@ -110,7 +113,8 @@ def top_categories_from_scores(scores: DataFrame, categories: DataFrame, limit:
 
 
 def article_counters(events: DataFrame) -> DataFrame:
-    return events.where(F.col("article_id").isNotNull()).groupBy("article_id").agg(
+    typed = rollup(events.where(F.col("article_id").isNotNull()), "article_id", "event_type")
+    return typed.groupBy("article_id").agg(
         *_counters(),
         X.net_count(CLICKED).alias("opens_from_recommendations_count"),
         X.score_sum().alias("score"),
@@ -148,22 +152,18 @@ def top_articles_by_popularity(articles: DataFrame, categories: DataFrame, limit
 
 # --- distributions ----------------------------------------------------------
 def events_by_type(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type").isNotNull()).groupBy("event_type").agg(
-        F.count("*").alias("events_count"), F.countDistinct("user_id").alias("unique_users_count")
-    ).orderBy(F.desc("events_count"), F.asc("event_type"))
+    typed = with_members(events.where(F.col("event_type").isNotNull()), ["event_type"], "user_id", "unique_users_count")
+    return typed.orderBy(F.desc("events_count"), F.asc("event_type"))
 
 
 def activity_by_day(events: DataFrame, now: datetime, days: int = 30) -> DataFrame:
-    return since(events, now, days).groupBy(F.to_date("event_timestamp").alias("date")).agg(
-        F.count("*").alias("events_count"), F.countDistinct("user_id").alias("unique_users_count")
-    ).orderBy("date")
+    recent = events.where("recent") if "recent" in events.columns else since(events, now, days)
+    return with_members(recent, [DAY], "user_id", "unique_users_count").withColumnRenamed(DAY, "date").orderBy("date")
 
 
 def event_counts(events: DataFrame, user_id: int | None = None) -> DataFrame:
     chosen = events if user_id is None else events.where(F.col("user_id") == user_id)
-    return chosen.where(F.col("event_type").isNotNull()).groupBy("event_type").agg(
-        F.count("*").alias("events_count")
-    )
+    return rollup(chosen.where(F.col("event_type").isNotNull()), "event_type").withColumnRenamed(X.EVENTS, "events_count")
 
 
 # --- recommendation click-through -------------------------------------------
@@ -178,14 +178,15 @@ def _ctr_columns() -> list[Column]:
 
 def recommendation_ctr(events: DataFrame, user_id: int | None = None) -> DataFrame:
     chosen = events if user_id is None else events.where(F.col("user_id") == user_id)
-    return chosen.agg(*_ctr_columns())
+    return rollup(chosen, "event_type").agg(*_ctr_columns())
 
 
 def ctr_by_scope(events: DataFrame, user_id: int) -> DataFrame:
     """The same rate for one user and for all, from one scan."""
     mine = F.col("user_id") == user_id
     scopes = F.array_compact(F.array(F.lit("global"), F.when(mine, F.lit("personal"))))
-    ours = events.where(F.col("event_type").isin(OPENED, CLICKED)).withColumn("scope", F.explode(scopes))
+    ours = rollup(events.where(F.col("event_type").isin(OPENED, CLICKED)), "event_type", "user_id")
+    ours = ours.withColumn("scope", F.explode(scopes))
     rates = ours.groupBy("scope").agg(*_ctr_columns())
     # Both scopes are listed even without events.
     listed = events.sparkSession.createDataFrame([("personal",), ("global",)], "scope STRING")
@@ -200,13 +201,13 @@ def personal_report(events: DataFrame, scores: DataFrame, categories: DataFrame,
     """One row per user with events or stored scores; exactly one row for ``user_id``.
 
     Counters that are 0 in the events come from the stored scores, and so do the
-    favourites of a user without categorised events.
+    favourites of a user without categorised events. Events and scores are read once.
     """
     if user_id is not None:
         events, scores = events.where(F.col("user_id") == user_id), scores.where(F.col("user_id") == user_id)
-    from_events = events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-        *_counters(), *_ctr_columns()
-    )
+    counted = rollup(events.where(F.col("user_id").isNotNull()), "user_id", "category_id", "event_type")
+    events, scores = written_table(counted, "personal-events"), written_table(scores, "personal-scores")
+    from_events = events.groupBy("user_id").agg(*_counters(), *_ctr_columns())
     stored = score_totals(scores).select(
         "user_id", *[F.col(n).alias(f"stored_{n}") for n in ("views_count", "likes_count", "saves_count")]
     )
@@ -240,11 +241,18 @@ def personal_report(events: DataFrame, scores: DataFrame, categories: DataFrame,
 
 def global_report(events: DataFrame, articles: DataFrame, categories: DataFrame, now: datetime,
                   limit: int = 10, days: int = 30, scores: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The parts of the global report. Pass persisted events: every part scans them.
+    """The parts of the global report, all from one rollup of the events, which are read once.
 
     Without categorised events the category list comes from the stored scores, and
     without article events the article list from the seed popularity.
     """
+    counted = written_table(report_rollup(events, now - timedelta(days=days)), "global-events")
+    return global_parts(counted, articles, categories, now, limit, days, scores)
+
+
+def global_parts(events: DataFrame, articles: DataFrame, categories: DataFrame, now: datetime, limit: int,
+                 days: int, scores: DataFrame | None) -> dict[str, DataFrame]:
+    """The parts from a written ``report_rollup``."""
     categories_part = top_categories(events, categories, limit)
     if scores is not None and categories_part.isEmpty():
         categories_part = top_categories_from_scores(scores, categories, limit)
@@ -266,4 +274,16 @@ def chart_frames(report: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "activity_by_day": report["activity_by_day"].orderBy("date"),
         "events_by_type": report["events_by_type"].orderBy(F.asc("events_count"), F.asc("event_type")),
         "top_categories": report["top_categories"].orderBy(F.asc("score"), F.asc("category_id")),
+        "recommendation_ctr": report["recommendation_ctr"],
     }
+
+
+def source_report(raw: DataFrame | None, audit: DataFrame, articles: DataFrame, categories: DataFrame, scores: DataFrame,
+                  now: datetime, limit: int = 10, days: int = 30) -> dict[str, DataFrame]:
+    """Both reports over the store that has events, each event once; every part names its ``source``."""
+    source, events = choose_source(raw, audit)
+    once = dedupe_events(events.select("event_id", "user_id", "event_type", "article_id", "category_id", "event_timestamp"))
+    counted = written_table(report_rollup(once, now - timedelta(days=days)), "report-events")
+    parts = global_parts(counted, articles, categories, now, limit, days, scores)
+    parts["personal"] = personal_report(counted, scores, categories)
+    return {name: part.withColumn("source", F.lit(source)) for name, part in parts.items()}

@@ -275,14 +275,14 @@ def daily_by_category(t: Tables):
     return A.daily_by_category(t.events)
 
 
-@query("order_daily_by_type", _daily_sql("order_events", "event_type"))
+@query("order_daily_by_type", _daily_sql("order_once", "event_type"))
 def order_daily_by_type(t: Tables):
-    return A.daily_by_type(t.order_events)
+    return A.daily_by_type(t.order_once)
 
 
-@query("order_daily_by_category", _daily_sql("order_events", "category_id"))
+@query("order_daily_by_category", _daily_sql("order_once", "category_id"))
 def order_daily_by_category(t: Tables):
-    return A.daily_by_category(t.order_events)
+    return A.daily_by_category(t.order_once)
 
 
 @query("user_activity_daily", """SELECT CAST(event_timestamp AS DATE) AS event_date, user_id,
@@ -304,10 +304,10 @@ def deltas(t: Tables):
     return A.category_score_deltas(t.events)
 
 
-@query("order_category_score_deltas", f"""SELECT user_id, category_id, {DELTAS} FROM order_events
+@query("order_category_score_deltas", f"""SELECT user_id, category_id, {DELTAS} FROM order_once
   WHERE category_id IS NOT NULL GROUP BY ALL""")
 def order_deltas(t: Tables):
-    return A.category_score_deltas(t.order_events)
+    return A.category_score_deltas(t.order_once)
 
 
 def _merge_sql(change: str) -> str:
@@ -333,9 +333,9 @@ def daily_ledger(t: Tables):
     linked = t.events.where(F.col("category_id").isNotNull()).withColumn(
         "batch_id", F.dayofmonth("event_timestamp").cast("long")
     )
-    keyed = linked.groupBy("batch_id", "user_id", "category_id")
+    keyed = A.rollup(linked, "batch_id", "user_id", "category_id", "event_type").groupBy("batch_id", "user_id", "category_id")
     return keyed.agg(
-        F.sum(X.weight(S.INTEREST_WEIGHTS, 0.0)).alias("score_delta"),
+        X.score_sum(S.INTEREST_WEIGHTS).alias("score_delta"),
         X.net_count("view_article").alias("views_delta"),
         X.net_count("like_article", "unlike_article").alias("likes_delta"),
         X.net_count("save_article", "unsave_article").alias("saves_delta"),

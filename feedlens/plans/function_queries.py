@@ -10,6 +10,7 @@ from feedlens import schemas as S
 from feedlens.functions import expressions as X
 from feedlens.operators import events as E
 from feedlens.operators import recommend as R
+from feedlens.operators.aggregates import rollup
 from feedlens.plans.registry import Tables, query
 from feedlens.sources import synthetic as Y
 from feedlens.sources.bridge import table
@@ -42,7 +43,7 @@ def reason_labels(t: Tables):
       count(*) FILTER (event_type = 'open_recommendations') AS opened FROM events_valid GROUP BY 1)""")
 def ctr_progress(t: Tables):
     rate = X.ratio_or_zero(X.net_count("open_recommended_article"), X.net_count("open_recommendations"))
-    return t.events.groupBy("user_id").agg(rate.alias("ctr")).select("user_id", X.ctr_progress(F.col("ctr")).alias("progress"))
+    return rollup(t.events, "user_id", "event_type").groupBy("user_id").agg(rate.alias("ctr")).select("user_id", X.ctr_progress(F.col("ctr")).alias("progress"))
 
 
 @query("slugs", """SELECT doc_id, trim(regexp_replace(lower(trim(text)), '[^a-z0-9]+', '-', 'g'), '-') AS slug

@@ -59,6 +59,11 @@ class Tables:
     def order_events(self) -> DataFrame:
         return self._load(bridge.order_events)
 
+    @cached_property
+    def order_once(self) -> DataFrame:
+        """Order events, each event id once."""
+        return E.dedupe_events(self.order_events)
+
     @cached_property
     def likes(self) -> DataFrame:
         return C.likes_from(self.events)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.operators import reports as P
@@ -63,9 +65,9 @@ def top_categories(t: Tables):
     return P.top_categories(t.events, t.categories)
 
 
-@query("order_top_categories", _top_categories_sql("order_events"))
+@query("order_top_categories", _top_categories_sql("order_once"))
 def order_top_categories(t: Tables):
-    return P.top_categories(t.order_events, t.categories)
+    return P.top_categories(t.order_once, t.categories)
 
 
 @query("top_categories_from_scores", """SELECT category_id, name AS category_name,
@@ -90,9 +92,9 @@ def top_articles(t: Tables):
     return P.top_articles(t.events, t.articles, t.categories)
 
 
-@query("order_top_articles", _top_articles_sql("order_events"))
+@query("order_top_articles", _top_articles_sql("order_once"))
 def order_top_articles(t: Tables):
-    return P.top_articles(t.order_events, t.articles, t.categories)
+    return P.top_articles(t.order_once, t.articles, t.categories)
 
 
 @query("top_articles_unknown_kept", f"""SELECT e.article_id, a.title, a.category_id, name AS category_name,
@@ -100,11 +102,11 @@ def order_top_articles(t: Tables):
   FROM (SELECT article_id * 3 AS article_id, {COUNTERS},
       count(*) FILTER (event_type = 'open_recommended_article') AS opens_from_recommendations_count,
       {SCORE_SUM} AS score
-    FROM order_events GROUP BY 1) e LEFT JOIN feed_articles a ON a.article_id = e.article_id
+    FROM order_once GROUP BY 1) e LEFT JOIN feed_articles a ON a.article_id = e.article_id
   LEFT JOIN feed_categories c ON c.category_id = a.category_id
   ORDER BY score DESC, views_count DESC, e.article_id LIMIT 10""")
 def top_articles_loose(t: Tables):
-    moved = t.order_events.withColumn("article_id", F.col("article_id") * 3)
+    moved = t.order_once.withColumn("article_id", F.col("article_id") * 3)
     return P.top_articles_loose(moved, t.articles, t.categories)
 
 
@@ -126,9 +128,9 @@ def events_by_type(t: Tables):
     return P.events_by_type(t.all_events)
 
 
-@query("order_events_by_type", _BY_TYPE.format(source="order_events"))
+@query("order_events_by_type", _BY_TYPE.format(source="order_once"))
 def order_events_by_type(t: Tables):
-    return P.events_by_type(t.order_events)
+    return P.events_by_type(t.order_once)
 
 
 @query("activity_by_day", """SELECT CAST(event_timestamp AS DATE) AS date, count(*) AS events_count,
@@ -224,14 +226,50 @@ def global_report(t: Tables):
     return stacked
 
 
-@query("chart_frames", f"""SELECT 'events_by_type' AS chart, event_type AS label, CAST(events_count AS DOUBLE) AS value
-    FROM ({_BY_TYPE.format(source='events_valid')})
-  UNION ALL SELECT 'top_categories', category_name, score FROM ({_top_categories_sql('events_valid')})""")
+_PARTS_SQL = f"""SELECT 'top_categories' AS part, category_name AS label, score AS value FROM ({{categories}})
+  UNION ALL SELECT 'top_articles', title, score FROM ({{articles}})
+  UNION ALL SELECT 'events_by_type', event_type, CAST(events_count AS DOUBLE) FROM ({_BY_TYPE})
+  UNION ALL SELECT 'activity_by_day', CAST(CAST(event_timestamp AS DATE) AS VARCHAR), CAST(count(*) AS DOUBLE)
+    FROM {{source}} WHERE event_timestamp >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 2
+  UNION ALL SELECT 'recommendation_ctr', 'ctr', recommendation_ctr FROM (SELECT {CTR} FROM {{source}})"""
+_VALUES = {"top_categories": ("category_name", "score"), "top_articles": ("title", "score"),
+           "events_by_type": ("event_type", "events_count"), "activity_by_day": ("date", "events_count"),
+           "recommendation_ctr": (None, "recommendation_ctr")}
+
+
+def _parts_sql(source: str, parts: tuple[str, ...] = tuple(_VALUES)) -> str:
+    sql = _PARTS_SQL.format(
+        source=source, categories=_top_categories_sql(source), articles=_top_articles_sql(source))
+    return f"SELECT * FROM ({sql}) WHERE part IN ({', '.join(repr(part) for part in parts)})"
+
+
+def _stacked(parts, *more: str):
+    """(part, label, value) rows of several parts."""
+    rows = []
+    for name, part in parts.items():
+        label, value = _VALUES[name]
+        text = F.lit("ctr") if label is None else F.col(label).cast("string")
+        rows.append(part.select(F.lit(name).alias("part"), text.alias("label"), F.col(value).cast("double").alias("value"), *more))
+    return reduce(DataFrame.unionByName, rows)
+
+
+CHARTS = ("activity_by_day", "events_by_type", "top_categories", "recommendation_ctr")
+
+
+@query("chart_frames", _parts_sql("events_valid", CHARTS))
 def charts(t: Tables):
-    frames = P.chart_frames(P.global_report(t.events, t.articles, t.categories, NOW))
-    types = frames["events_by_type"].select(
-        F.lit("events_by_type").alias("chart"), F.col("event_type").alias("label"),
-        F.col("events_count").cast("double").alias("value"))
-    best = frames["top_categories"].select(
-        F.lit("top_categories").alias("chart"), F.col("category_name").alias("label"), F.col("score").alias("value"))
-    return types.unionByName(best)
+    return _stacked(P.chart_frames(P.global_report(t.events, t.articles, t.categories, NOW)))
+
+
+@query("source_report", f"SELECT *, 'raw_user_events' AS source FROM ({_parts_sql('order_once')})")
+def source_report(t: Tables):
+    """The report job's global parts: the raw store has events, some of them twice."""
+    parts = P.source_report(t.order_events, t.events, t.articles, t.categories, t.order_scores, NOW)
+    return _stacked({name: parts[name] for name in _VALUES}, "source")
+
+
+@query("source_report_audit", f"SELECT *, 'pending_events' AS source FROM ({_parts_sql('events_valid')})")
+def source_report_audit(t: Tables):
+    """An empty raw store: the audit table is read."""
+    parts = P.source_report(t.order_events.where("false"), t.events, t.articles, t.categories, t.scores, NOW)
+    return _stacked({name: parts[name] for name in _VALUES}, "source")

@@ -104,6 +104,8 @@ VIEWS = {
       l_partkey + 1 AS article_id, l_partkey % 25 + 1 AS category_id,
       CAST(l_shipdate AS TIMESTAMP) AS event_timestamp
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "order_once": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_timestamp,
+      user_id, session_id, event_type, article_id, category_id) AS rn FROM order_events) WHERE rn = 1""",
     "likes": _state("like_article", "unlike_article", "article_id"),
     "saves": _state("save_article", "unsave_article", "article_id"),
     "subscriptions": _state("subscribe_category", "unsubscribe_category", "category_id"),
