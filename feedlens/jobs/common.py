@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.sources.readers import read_files, read_jdbc
+from feedlens.sources.readers import read_files, read_jdbc_split
 
 
 def positive(text: str) -> int:
@@ -28,8 +28,6 @@ def add_table_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--jdbc-password", default=env("POSTGRES_PASSWORD"))
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     parser.add_argument("--jdbc-partitions", type=positive, default=32)
-    parser.add_argument("--jdbc-max-id", type=positive, default=1_000_000_000,
-                        help="upper end of the id ranges a scan is split into")
 
 
 def jdbc_options(args: argparse.Namespace) -> dict[str, str]:
@@ -42,4 +40,4 @@ def load(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
         return read_files(spark, args.tables, name)
     if not args.jdbc_url:
         raise SystemExit("give --tables or --jdbc-url")
-    return read_jdbc(spark, name, jdbc_options(args), bounds=(1, args.jdbc_max_id, args.jdbc_partitions))
+    return read_jdbc_split(spark, name, jdbc_options(args), args.jdbc_partitions)

@@ -25,7 +25,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                         required=env("SPARK_CHECKPOINT_DIR") is None)
     parser.add_argument("--processing-time", default=env("SPARK_PROCESSING_TIME", DEFAULT_TRIGGER))
     parser.add_argument("--available-now", action="store_true", help="stop when the present input is done")
-    parser.add_argument("--dedupe", action="store_true", help="drop repeated event ids within the watermark")
+    parser.add_argument("--dedupe", action="store_true", help="store each event id of a day once")
+    parser.add_argument("--allow-missing-session", action="store_true", help="events of the API have no session")
     parser.add_argument("--compact-every", type=positive, default=360, help="batches per score snapshot")
     parser.add_argument("--state-partitions", type=positive, help="fixed for the life of the checkpoint")
     return parser.parse_args(argv)
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
                                     startingOffsets=args.starting_offsets)
     run_event_job(
         spark, records, args.output_base, args.checkpoint_dir, args.available_now, args.processing_time,
-        args.dedupe, args.compact_every,
+        args.dedupe, args.compact_every, not args.allow_missing_session,
     ).awaitTermination()
 
 

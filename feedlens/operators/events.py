@@ -159,8 +159,19 @@ def dedupe_events(events: DataFrame, first_by: tuple[str, ...] = ("event_timesta
 
 
 def ingest_new_events(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Insert-if-absent: the first copy of every incoming event not stored yet."""
-    return dedupe_events(incoming).join(stored.select("event_id"), "event_id", "left_anti")
+    """Insert-if-absent: the first copy of every incoming event not stored yet.
+
+    Only stored rows from the first to the last incoming event time are looked at. Rows
+    without an id cannot be told from stored ones and are always inserted.
+    """
+    fresh = dedupe_events(incoming)
+    if {"event_timestamp"} <= set(stored.columns) & set(incoming.columns):
+        span = fresh.agg(F.min("event_timestamp").alias("low"), F.max("event_timestamp").alias("high"))
+        stored = stored.where(
+            F.col("event_timestamp").isNull()
+            | F.col("event_timestamp").between(span.select("low").scalar(), span.select("high").scalar())
+        )
+    return fresh.join(stored.select("event_id"), "event_id", "left_anti")
 
 
 def interaction_events(raw: DataFrame | None, audit: DataFrame) -> DataFrame:

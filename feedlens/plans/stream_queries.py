@@ -7,6 +7,8 @@ same checkpoint, so progress, watermark and state have to carry over.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,9 @@ from feedlens.session import run_folder, stream_session
 from feedlens.sources.readers import read_event_stream
 from feedlens.sources.sinks import ScoreStore
 from feedlens.streaming import aggregates as G
-from feedlens.streaming.job import StreamPaths, run_event_job, run_stream
+from feedlens.streaming.job import (
+    StreamPaths, compact_closed_days, daily_totals, late_totals, run_event_job, run_stream,
+)
 
 WAVE_BOUNDS = ("2024-01-11", "2024-01-21")
 
@@ -141,22 +145,72 @@ def job_dead_letters(t: Tables):
   UNION ALL SELECT 'user', date_trunc('day', event_timestamp), CAST(user_id AS VARCHAR), count(*),
     count(DISTINCT session_id) FROM events_valid GROUP BY ALL""")
 def job_aggregates(t: Tables):
-    """Waves end at midnight, so a day lies in one batch and per-batch rows are totals."""
-    paths = _run_job(t)
+    return _totals(t, _run_job(t))
+
+
+def _totals(t: Tables, paths: StreamPaths) -> DataFrame:
+    """The job's event-time totals as (kind, day, label, events, distinct members) rows."""
+    totals = daily_totals(t.spark, paths)
 
-    def part(path: str, kind: str, start: str, label: str, distinct: str) -> DataFrame:
-        return t.spark.read.parquet(path).select(
+    def part(name: str, kind: str, start: str, label: str, distinct: str) -> DataFrame:
+        return totals[name].select(
             F.lit(kind).alias("kind"), F.col(start).cast("timestamp").alias("window_start"),
             F.col(label).cast("string").alias("label"), "events_count", F.col(distinct).alias("distinct_count"),
         )
 
     return (
-        part(paths.by_type, "type", "window_start", "event_type", "unique_users_count")
-        .unionByName(part(paths.by_category, "category", "window_start", "category_id", "unique_users_count"))
-        .unionByName(part(paths.user_activity, "user", "event_date", "user_id", "sessions_count"))
+        part("by_type", "type", "window_start", "event_type", "unique_users_count")
+        .unionByName(part("by_category", "category", "window_start", "category_id", "unique_users_count"))
+        .unionByName(part("user_activity", "user", "event_date", "user_id", "sessions_count"))
     )
 
 
+def _run_mixed_job(t: Tables) -> StreamPaths:
+    """Waves by the last digit of the offset, each sent twice: days span batches, and most of
+    the later waves is late."""
+    base = run_folder(t.spark, "stream")
+    log = f"{base}/log"
+    records = _stream(t, log)
+    for wave in range(3):
+        part = log_records(t).where(F.col("offset") % 3 == wave)
+        part.unionByName(part).write.mode("append").parquet(log)
+        run_event_job(t.spark, records, f"{base}/tables", f"{base}/checkpoint", available_now=True, dedupe=True).awaitTermination()
+    return StreamPaths(f"{base}/tables")
+
+
+_JOB_TOTALS = """SELECT 'type' AS kind, date_trunc('day', event_timestamp) AS window_start,
+    event_type AS label, count(*) AS events_count, count(DISTINCT user_id) AS distinct_count FROM events_valid GROUP BY ALL
+  UNION ALL SELECT 'category', date_trunc('day', event_timestamp), CAST(category_id AS VARCHAR), count(*),
+    count(DISTINCT user_id) FROM events_valid WHERE category_id IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'user', date_trunc('day', event_timestamp), CAST(user_id AS VARCHAR), count(*),
+    count(DISTINCT session_id) FROM events_valid GROUP BY ALL"""
+
+
+@query("stream_job_daily_totals", _JOB_TOTALS)
+def job_totals(t: Tables):
+    """Waves that split every day, with copies and late events; closed days are compacted before the read."""
+    paths = _run_mixed_job(t)
+    compact_closed_days(t.spark, paths, date(2024, 1, 20))
+    return _totals(t, paths)
+
+
+@query("stream_late_events_kept", """SELECT * FROM (WITH waves AS (SELECT *, (CAST(event_id AS BIGINT) // 4) % 3 AS wave FROM events_checked),
+  stored AS (SELECT *, (SELECT max(event_timestamp) FROM waves w WHERE w.wave < v.wave AND w.validation_error IS NULL) AS newest
+    FROM waves v WHERE validation_error IS NULL)
+  SELECT (SELECT count(*) FROM stored) AS raw_rows, (SELECT 2 * count(*) FROM waves WHERE validation_error IS NOT NULL) AS dead_rows,
+    (SELECT count(*) FROM stored) AS events_count,
+    (SELECT count(*) FROM stored WHERE event_timestamp < newest - INTERVAL 2 DAY) AS late_count)""")
+def late_kept(t: Tables):
+    """Every event sent is stored once or a dead letter, and the late ones are counted."""
+    paths = _run_mixed_job(t)
+
+    def size(path: str):
+        return t.spark.read.parquet(path).select(F.count("*").alias("n")).scalar()
+
+    return late_totals(t.spark, paths).select(
+        size(paths.raw_events).alias("raw_rows"), size(paths.dead_letters).alias("dead_rows"), "events_count", "late_count")
+
+
 @query("stream_micro_batch_scores", f"""SELECT user_id, category_id,
     greatest(0, greatest(0, greatest(0, coalesce(a.score_delta, 0)) + coalesce(b.score_delta, 0))
       + coalesce(c.score_delta, 0)) AS score,

@@ -44,6 +44,17 @@ def read_jdbc(spark: SparkSession, name: str, options: Mapping[str, str],
     return table.withColumnRenamed("id", OWN_ID[name]) if name in OWN_ID else table
 
 
+def bounds_query(name: str, column: str = "id") -> str:
+    return f"SELECT min({column}) AS low, max({column}) AS high FROM {name}"
+
+
+def read_jdbc_split(spark: SparkSession, name: str, options: Mapping[str, str], partitions: int, column: str = "id") -> DataFrame:
+    """A database table in even ranges of the ids it has: the source is asked for its bounds first."""
+    ends = spark.read.format("jdbc").options(**options).option("query", bounds_query(name, column)).load().first()
+    bounds = None if ends["low"] is None else (int(ends["low"]), int(ends["high"]), partitions)
+    return read_jdbc(spark, name, options, bounds, column)
+
+
 def read_documents(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """The raw event collection through the document-store connector."""
     return spark.read.schema(S.RAW_EVENTS).format("mongodb").options(**options).load()

@@ -3,7 +3,9 @@ from datetime import datetime
 
 import pytest
 
-from feedlens.jobs import generate, recommend, stream_events
+from feedlens import schemas as S
+from feedlens.jobs import generate, recommend, report, stream_events
+from feedlens.sources import readers, sinks
 from feedlens.sources.synthetic import synthetic_articles, synthetic_users
 
 
@@ -48,9 +50,32 @@ def test_stream_and_recommendation_jobs(spark, folder):
     assert counts["users"] == 20 and counts["recommendations"] == 60
 
 
+def test_report_job(spark, folder):
+    spark.createDataFrame([(number, f"Category {number}") for number in range(1, 13)], "category_id BIGINT, name STRING").write.parquet(
+        str(folder / "tables/categories"))
+    spark.createDataFrame([], S.USER_CATEGORY_SCORES).write.parquet(str(folder / "tables/user_category_scores"))
+    parts = report.main(["--tables", str(folder / "tables"), "--raw-events", str(folder / "feed/raw_user_events"),
+                         "--output", str(folder / "report"), "--until", "2030-01-01", "--limit", "4"])
+    tables = {name: spark.read.parquet(str(folder / "report" / name)) for name in parts}
+    assert tables["top_categories"].count() == 4 and tables["personal"].count() == 20
+    assert {row.source for table in tables.values() for row in table.select("source").distinct().collect()} <= {"raw_user_events"}
+    assert tables["events_by_type"].agg({"events_count": "sum"}).first()[0] == 3000
+    again = report.main(["--tables", str(folder / "tables"), "--raw-events", str(folder / "nothing"), "--output", str(folder / "audit")])
+    assert spark.read.parquet(str(folder / "audit" / again[0])).first().source == "pending_events"
+
+
+def test_database_statements():
+    swap = sinks.swap_statements("scores", ["user_id", "score"])
+    assert swap == ["DELETE FROM scores", "INSERT INTO scores (user_id, score) SELECT user_id, score FROM scores_staging"]
+    [insert] = sinks.insert_absent_statements("pending_events", ["event_id", "error"], "event_id")
+    assert insert.endswith("WHERE NOT EXISTS (SELECT 1 FROM pending_events t WHERE t.event_id = s.event_id)")
+    assert readers.bounds_query("users") == "SELECT min(id) AS low, max(id) AS high FROM users"
+
+
 def test_options():
     assert generate.parse(["--fallback"]).events == 10_000
     with pytest.raises(SystemExit):
         recommend.parse(["--output", "x", "--top-n", "0"])
     with pytest.raises(SystemExit):
         stream_events.parse([])
+    assert stream_events.parse(["--output-base", "x", "--checkpoint-dir", "y", "--allow-missing-session"]).allow_missing_session

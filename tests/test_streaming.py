@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -8,7 +8,7 @@ from feedlens.session import shared_folder
 from feedlens.sources.readers import read_event_stream
 from feedlens.sources.sinks import ScoreStore
 from feedlens.streaming import aggregates as G
-from feedlens.streaming.job import StreamPaths, process_batch, run_event_job, run_stream, validated_stream
+from feedlens.streaming.job import StreamPaths, compact_closed_days, daily_totals, late_totals, process_batch, run_event_job, run_stream, validated_stream
 
 EVENTS = ("event_id STRING, user_id BIGINT, session_id STRING, event_type STRING, article_id BIGINT, "
           "category_id BIGINT, event_timestamp TIMESTAMP")
@@ -36,13 +36,44 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
         run(batch, 7)
     assert spark.read.parquet(paths.raw_events).count() == 6
     assert spark.read.parquet(paths.dead_letters).count() == 1
-    assert spark.read.parquet(paths.by_type).count() == 2
+    assert daily_totals(spark, paths)["by_type"].count() == 2
     assert store.current().first().score == 6.0
     run(batch, 8)
     assert spark.read.parquet(paths.raw_events).count() == 12
     assert store.current().first().score == 12.0
 
 
+def test_many_batches_stay_few_files(spark, tmp_path):
+    """Compaction leaves one partition per closed day, and the scores' ledger only its open batches."""
+    paths, store = StreamPaths(str(tmp_path)), ScoreStore(spark, str(tmp_path / "scores"))
+    run = process_batch(paths, store, compact_every=5)
+    for number in range(12):
+        values = [r.value for r in encode_events(spark.createDataFrame([event(number, 1), event(100 + number, 2)], EVENTS)).collect()]
+        run(validated_stream(spark.createDataFrame(log(values), S.LOG_RECORD)), number)
+    before = daily_totals(spark, paths)["by_type"].orderBy("window_start").collect()
+    compact_closed_days(spark, paths, date(2024, 1, 2))
+    folders = lambda day: len(list((tmp_path / "raw_user_events" / f"event_date=2024-01-0{day}").glob("batch_id=*")))
+    assert (folders(1), folders(2)) == (1, 12)
+    assert spark.read.parquet(paths.raw_events).count() == 24
+    assert daily_totals(spark, paths)["by_type"].orderBy("window_start").collect() == before
+    assert compact_closed_days(spark, paths, date(2024, 1, 2)) == dict.fromkeys(
+        (paths.raw_events, paths.rollup, paths.dead_letters), 0)
+    assert sorted(int(p.name[9:]) for p in (tmp_path / "scores/user_category_score_deltas").glob("batch_id=*")) == [5, 6, 7, 8, 9, 10, 11]
+    assert store.current().first().views_count == 24
+
+
+def test_late_events_are_stored_and_counted(spark, tmp_path):
+    paths, store = StreamPaths(str(tmp_path)), ScoreStore(spark, str(tmp_path / "scores"))
+    run = process_batch(paths, store, dedupe=True)
+    for number, days in enumerate([(1, 9), (1, 2, 8, 20), (20,)]):
+        rows = [event(10 * number + day, day) for day in days]
+        values = [r.value for r in encode_events(spark.createDataFrame(rows, EVENTS)).collect()]
+        for _ in range(2):
+            run(validated_stream(spark.createDataFrame(log(values), S.LOG_RECORD)), number)
+    assert late_totals(spark, paths).first().asDict() == {"events_count": 7, "late_count": 2}
+    assert spark.read.parquet(paths.raw_events).count() == 7
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     batch = validated_stream(spark.createDataFrame([], S.LOG_RECORD))
     process_batch(StreamPaths(str(tmp_path / "out")), ScoreStore(spark, str(tmp_path / "s")))(batch, 0)
