@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from feedlens import schemas as S
 
-# Display labels of the known recommendation reasons. An unknown
-# reason is made readable instead, a missing one gets the default label.
+# Display labels of the known recommendation reasons, our own words. An unknown reason is
+# made readable instead, a missing one gets the default label.
 REASON_LABELS = {
     S.REASON_ALS: "Based on your activity in the feed",
     S.REASON_SUBSCRIBED: "From categories you are subscribed to",
@@ -128,8 +128,9 @@ def reason_label(reason: Column) -> Column:
 
 
 def draw(seed: int, salt: str, *keys: Column) -> Column:
-    """Reproducible uniform non-negative long for a row: a hash of keys and salt."""
-    return F.xxhash64(*keys, F.lit(f"{seed}:{salt}")).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    """Reproducible uniform non-negative long for a row: 60 bits of a digest of keys and salt."""
+    text = F.concat_ws("|", *[key.cast("string") for key in keys], F.lit(f"{seed}:{salt}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def pick(values: tuple[str, ...], number: Column) -> Column:

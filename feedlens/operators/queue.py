@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions import expressions as X
-from feedlens.operators.ranking import top_per_key
+from feedlens.operators.ranking import top_per_key, with_positions
 
 BATCH_SIZE = 100
 MAX_BATCHES = 10
@@ -21,9 +21,17 @@ def oldest_pending(pending: DataFrame, limit: int = BATCH_SIZE) -> DataFrame:
     return pending.orderBy("created_at", "event_id").limit(limit)
 
 
-def sync_batches(pending: DataFrame, size: int = BATCH_SIZE, batches: int = MAX_BATCHES) -> DataFrame:
-    """The rows one sync run sends, with their ``batch_no``; a run sends 10 batches of
-    100 at most, so few rows are numbered."""
+def sync_batches(pending: DataFrame, size: int = BATCH_SIZE, batches: int | None = MAX_BATCHES) -> DataFrame:
+    """The rows one sync run sends, with their ``batch_no``: 10 batches of 100 at most.
+
+    ``batches=None`` numbers the whole queue, as runs of 10 batches (``run_no``) would send it.
+    """
+    if batches is None:
+        placed = with_positions(pending, [], [F.asc("created_at"), F.asc("event_id")], "_n")
+        batch = F.ceil(F.col("_n") / size)
+        return placed.select(
+            *pending.columns, F.ceil(batch / MAX_BATCHES).alias("run_no"), (F.pmod(batch - 1, F.lit(MAX_BATCHES)) + 1).alias("batch_no")
+        )
     run = oldest_pending(pending, size * batches).withColumn("_run", F.lit(0))
     numbered = top_per_key(run, ["_run"], [F.asc("created_at"), F.asc("event_id")], size * batches, "_n")
     return numbered.withColumn("batch_no", F.ceil(F.col("_n") / size)).drop("_run", "_n")

@@ -71,6 +71,13 @@ def oldest(t: Tables):
     return Q.oldest_pending(pending(t)).select("event_id", "created_at")
 
 
+@query("sync_runs", f"""SELECT event_id, CAST((n - 1) // 1000 + 1 AS BIGINT) AS run_no, CAST((n - 1) % 1000 // 100 + 1 AS BIGINT) AS batch_no
+  FROM (SELECT event_id, row_number() OVER (ORDER BY created_at, event_id) AS n FROM (WITH {_PENDING} SELECT * FROM pending))""")
+def sync_runs(t: Tables):
+    """The whole queue, in the order in which the sync runs send it."""
+    return Q.sync_batches(pending(t), batches=None).select("event_id", "run_no", "batch_no")
+
+
 @query("sync_batches", f"""SELECT event_id, CAST(ceil(row_number() OVER (ORDER BY created_at, event_id) / 100)
     AS BIGINT) AS batch_no FROM (WITH {_PENDING} SELECT * FROM pending)
   ORDER BY created_at, event_id LIMIT 1000""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -92,7 +94,19 @@ def _list(values) -> str:
     return "[" + ", ".join(f"'{value}'" for value in values) + "]"
 
 
+@query("seed_categories", f"""SELECT number AS category_id, name, {_list(s for _, s in S.SEED_CATEGORIES)}[number] AS slug,
+    'Articles about ' || name || '.' AS description, events_count
+  FROM (SELECT unnest(generate_series(1, {len(S.SEED_CATEGORIES)})) AS number, unnest({_list(n for n, _ in S.SEED_CATEGORIES)}) AS name)
+  JOIN (SELECT category_id AS number, count(*) AS events_count FROM events_valid GROUP BY 1) USING (number)""")
+def seed_categories(t: Tables):
+    """The seed rows of the categories that have events, with their number."""
+    counts = rollup(t.events, "category_id").withColumnRenamed("n", "events_count")
+    return Y.seed_categories(t.spark).join(counts, "category_id")
+
+
 @query("synthetic_articles", f"""SELECT article_id, title, category_id, category_slug, published_at,
+    'Demo Author ' || ((article_id - 1) % 20 + 1) AS author,
+    title || '. Generated text for demonstrations, ' || (article_id % 9 + 1) || ' minutes to read.' AS content,
     'https://example.com/generated/' || padded || '-' ||
       trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-') AS source_url
   FROM (SELECT article_id, padded, {_list(n for n, _ in S.SEED_CATEGORIES)}[(article_id - 1) % 12 + 1] || ': ' ||
@@ -104,7 +118,7 @@ def _list(values) -> str:
     FROM (SELECT article_id, printf('%04d', article_id) AS padded FROM feed_articles))""")
 def synthetic_articles(t: Tables):
     return Y.synthetic_articles(t.articles, NOW, "article_id").select(
-        "article_id", "title", "category_id", "category_slug", "published_at", "source_url"
+        "article_id", "title", "category_id", "category_slug", "published_at", "source_url", "author", "content"
     )
 
 
@@ -114,7 +128,51 @@ def _synthetic(t: Tables):
     return Y.synthetic_events(rows, users, articles, NOW, "event_id")
 
 
-@query("synthetic_events")
+def _draw(salt: str, *keys: str) -> str:
+    text = " || '|' || ".join([*[f"CAST({key} AS VARCHAR)" for key in keys or ("row_id",)], f"'42:{salt}'"])
+    return f"CAST(('0x' || md5({text})[:15]) AS BIGINT)"
+
+
+def _pick(values, salt: str) -> str:
+    return f"{_list(values)}[{_draw(salt)} % {len(values)} + 1]"
+
+
+def _types(values) -> str:
+    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
+
+
+def _uuid(text: str) -> str:
+    digest = f"md5({text})"
+    return " || '-' || ".join(f"{digest}[{low}:{high}]" for low, high in ((1, 8), (9, 12), (13, 16), (17, 20), (21, 32)))
+
+
+_MIX = "CASE " + " ".join(
+    f"WHEN {_draw('type')} % {sum(S.EVENT_MIX.values())} < {upto} THEN '{name}'"
+    for name, upto in zip(S.EVENT_MIX, accumulate(S.EVENT_MIX.values()), strict=True)) + " END"
+_SYNTHETIC = f"""SELECT * FROM (WITH people AS (SELECT user_id, row_number() OVER (ORDER BY user_id) AS user_no
+    FROM feed_users WHERE is_active AND role = 'user'),
+  texts AS (SELECT article_id, category_id AS article_category_id, row_number() OVER (ORDER BY article_id) AS article_no FROM feed_articles),
+  kinds AS (SELECT category_id AS drawn_category_id, row_number() OVER (ORDER BY category_id) AS category_no
+    FROM (SELECT DISTINCT category_id FROM feed_articles)),
+  typed AS (SELECT row_id, {_MIX} AS event_type FROM (SELECT CAST(event_id AS BIGINT) AS row_id FROM events)),
+  drawn AS (SELECT *, {_draw('user')} % (SELECT count(*) FROM people) + 1 AS user_no,
+    CASE WHEN event_type IN {_types(S.ARTICLE_EVENT_TYPES)} THEN {_draw('article')} % (SELECT count(*) FROM texts) + 1 END AS article_no,
+    CASE WHEN event_type IN {_types(S.CATEGORY_EVENT_TYPES)} THEN {_draw('category')} % (SELECT count(*) FROM kinds) + 1 END AS category_no
+    FROM typed)
+  SELECT {_uuid("'event 42|' || row_id")} AS event_id, user_id,
+    {_uuid(f"'session 42|' || user_id || '|' || {_draw('session')} % ({_draw('sessions', 'user_id')} % 7 + 2)")} AS session_id,
+    event_type, article_id, coalesce(drawn_category_id, article_category_id) AS category_id,
+    TIMESTAMP '2024-01-31 00:00:00' - to_days(CAST({_draw('day')} % 30 AS INTEGER)) - to_seconds({_draw('second')} % 86400) AS event_timestamp,
+    '{{"platform":"android","app_version":"' || {_pick(S.APP_VERSIONS, 'app')} || '","os_version":"' || {_pick(S.OS_VERSIONS, 'os')} || '"}}' AS device,
+    CASE event_type
+      WHEN 'search' THEN '{{"query":"' || {_pick(S.SEARCH_TERMS, 'term')} || '","source":"feed_search"}}'
+      WHEN 'view_article' THEN '{{"duration_seconds":"' || {_draw('duration')} % 233 + 8 || '","source":"' || {_pick(S.VIEW_SOURCES, 'view source')} || '"}}'
+      WHEN 'open_recommended_article' THEN '{{"recommendation_rank":"' || {_draw('rank')} % 20 + 1 || '","reason":"' || {_pick(S.OPEN_REASONS, 'open reason')} || '"}}'
+      ELSE '{{"source":"' || {_pick(S.OTHER_SOURCES, 'source')} || '"}}' END AS metadata
+  FROM drawn JOIN people USING (user_no) LEFT JOIN texts USING (article_no) LEFT JOIN kinds USING (category_no))"""
+
+
+@query("synthetic_events", _SYNTHETIC)
 def synthetic_events(t: Tables):
     return _synthetic(t).withColumns({"device": F.to_json("device"), "metadata": F.to_json("metadata")})
 

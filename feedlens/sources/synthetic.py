@@ -30,8 +30,8 @@ def synthetic_users(ids: DataFrame, id_col: str = "id", domain: str = "example.c
 
 
 def seed_categories(spark) -> DataFrame:
-    rows = [(number, name, slug) for number, (name, slug) in enumerate(S.SEED_CATEGORIES, start=1)]
-    return spark.createDataFrame(rows, "category_id BIGINT, name STRING, slug STRING")
+    rows = [(number, name, slug, f"Articles about {name}.") for number, (name, slug) in enumerate(S.SEED_CATEGORIES, start=1)]
+    return spark.createDataFrame(rows, "category_id BIGINT, name STRING, slug STRING, description STRING")
 
 
 def synthetic_articles(ids: DataFrame, now: datetime, id_col: str = "id", seed: int = 42) -> DataFrame:
@@ -57,7 +57,11 @@ def synthetic_articles(ids: DataFrame, now: datetime, id_col: str = "id", seed:
         F.concat(F.lit("Generated article about "), topic, F.lit(".")).alias("summary"),
         (X.utc_literal(now) - age).alias("published_at"),
         F.round(F.lit(1.0) + (X.draw(seed, "popularity", number) % 9901) / 100, 2).alias("popularity_score"),
-    ).withColumn("source_url", url)
+    ).withColumns({
+        "source_url": url,
+        "author": F.concat(F.lit("Demo Author "), (zero_based % 20 + 1).cast("string")),
+        "content": F.concat("title", F.lit(". Generated text for demonstrations, "), (number % 9 + 1).cast("string"), F.lit(" minutes to read.")),
+    })
 
 
 def _event_type(number: Column) -> Column:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedlens.operators.ranking import first_free_positions, paged, top_per_key, with_positions
+from feedlens.operators.ranking import first_free_positions, left_join_spread, paged, top_per_key, with_positions
 
 
 def test_positions_equal_row_number_with_a_hot_key(spark):
@@ -72,3 +72,28 @@ def test_paged(spark):
     assert "CartesianProduct" not in paged(df, [F.desc("id")], 10)._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         paged(df, [F.desc("id")], 0)
+
+
+def test_rows_without_a_key_are_dealt_over_the_tasks(spark):
+    """A third of the rows without a key, and no broadcast: no task holds them all, and nothing is lost."""
+    left = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN id % 500 END AS key")
+    right = spark.range(400).selectExpr("id AS other", "id * 2 AS value")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = left_join_spread(left, right, "key", "other", "id")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        rows = {(r.id, r.value) for r in joined.collect()}
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert max(sizes) < 2 * sum(sizes) / 16
+    assert rows == {(n, 2 * (n % 500) if n % 3 and n % 500 < 400 else None) for n in range(30_000)}
+
+
+def test_positions_keep_rows_without_a_key(spark):
+    rows = spark.createDataFrame([(None, 3), (None, 1), (1, 2), (1, 5)], "key INT, value INT")
+    got = with_positions(rows, ["key"], [F.asc("value")])
+    assert sorted((r.key or 0, r.value, r.position) for r in got.collect()) == [(0, 1, 1), (0, 3, 2), (1, 2, 1), (1, 5, 2)]
