@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from feedlens.llm.arrow import inner_names, text_bytes
 from feedlens.llm.boosting import fit_logistic, score_logistic
 from feedlens.llm.decontaminate import words
+from feedlens.llm.id_filter import id_filter, possible_members
 from feedlens.llm.lexicon import FuzzyTrie
+from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
 THRESHOLD = 0.7
@@ -208,9 +210,12 @@ class Model:
 
 def _labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``toxic, place, text`` of the documents whose label may be learned."""
-    own = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    own = labels.where("toxic is not null and doc_id is not null").where(~held_out())
+    own = written_table(own.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")), "toxic-labels")
     rows = documents.where(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return written_table(rows.join(own, "doc_id").select("toxic", F.xxhash64("doc_id").alias("place"), "text"), "toxic-labelled")
+    # Only labelled texts are shuffled: a bounded filter of their ids drops most others first.
+    rows = possible_members(rows, "doc_id", id_filter(own, "doc_id")).join(own.hint("merge"), "doc_id")
+    return written_table(rows.select("toxic", F.xxhash64("doc_id").alias("place"), "text"), "toxic-labelled")
 
 
 def held_out():
@@ -224,6 +229,7 @@ def _counted(rows: DataFrame, run) -> DataFrame:
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The lexicon from all labelled documents that are not held out, the weights from a bounded sample of them."""
     spark = documents.sparkSession
+    ship_package(spark)
     rows = _labelled(documents, labels)
     totals = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     all_toxic, all_clean = totals.get(True, 0), totals.get(False, 0)
@@ -265,6 +271,7 @@ def _scores(shared, passed: list[str]):
 
 def scored(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``score`` of every document."""
+    ship_package(documents.sparkSession)
     frame = documents.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{name}` {frame.schema[name].dataType.simpleString()}" for name in keep)
     return frame.mapInArrow(_scores(documents.sparkSession.sparkContext.broadcast(model), keep), f"{schema}, score double")
