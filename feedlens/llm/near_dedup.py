@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from feedlens.llm.arrow import text_bytes
 from feedlens.llm.components import components
 from feedlens.llm.hot_keys import join_split_hot
+from feedlens.llm.id_filter import id_filter, possible_members
+from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
 WIDTH, PERCENT = 5, 80
@@ -312,6 +314,7 @@ def _verify_pairs(width: int, percent: int):
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, class_digest, component_id, kept`` of every document."""
+    ship_package(documents.sparkSession)
     doc_type = documents.schema["doc_id"].dataType.simpleString()
     sketches = written_table(
         documents.select("doc_id", "text").mapInArrow(
@@ -329,8 +332,9 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     )
     groups = components(candidate_links(classes, percent))
     pairs = written_table(_block_pairs(groups, block), "near-pairs")
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(pairs, "id")
-    # Repeated rows of a doc_id take part once.
+    # Only the texts of groups are shuffled: a bounded filter of their ids drops most others first.
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("doc_id is not null")
+    texts = possible_members(texts, "id", id_filter(groups, "id")).join(pairs.hint("merge"), "id")
     texts = texts.repartition("pair").sortWithinPartitions("pair")
     links = texts.mapInArrow(_verify_pairs(width, percent), "a long, b long").distinct()
     found = components(links)
@@ -358,12 +362,16 @@ def deduplicated(documents: DataFrame, width: int = WIDTH, percent: int = PERCEN
 
     Repeated rows of a kept doc_id are reduced to one of them.
     """
-    judged = near_duplicates(documents, width, percent)
-    drop = written_table(judged.where("not kept").select("doc_id").distinct(), "near-dropped")
-    kept = documents.join(drop, "doc_id", "left_anti")
-    repeated = written_table(judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-repeated")
+    judged = written_table(near_duplicates(documents, width, percent).select("doc_id", "kept"), "near-judged")
+    drop = judged.where("not kept").select("doc_id").distinct()
+    # Always by shuffle: the list of dropped ids grows with the documents.
+    kept = documents.join(drop.hint("merge"), "doc_id", "left_anti").select(*[F.col(f"`{name}`") for name in documents.columns])
+    counts = judged.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = written_table(counts.where("rows > 1").select("doc_id"), "near-repeated")
+    if repeated.isEmpty():
+        return kept
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*[F.col(f"`{name}`") for name in documents.columns])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*kept.columns)
 
 
 def near_report(documents: DataFrame) -> DataFrame:
