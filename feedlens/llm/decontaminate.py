@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.arrow import inner_names, text_bytes
+from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
 WINDOW = 13
@@ -206,6 +207,7 @@ def scan_documents(
 ) -> DataFrame:
     """``keep`` columns and, of every document, ``n_words``, ``n_hit``, ``hit`` (packed bits by word) and ``matches``."""
     spark = documents.sparkSession
+    ship_package(spark)
     frame = documents.select(*dict.fromkeys([*keep, "text"]))
     for items, last in item_blocks(benchmark, block_bytes):
         passed = keep if last else [name for name in frame.columns if name not in STATE]

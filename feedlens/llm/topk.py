@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
 TOP, EVERY, SCALE = 20, 20, 64
@@ -181,6 +182,7 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the best ``top`` of all other rows for each row whose id ``every`` divides."""
     spark = rows.sparkSession
+    ship_package(spark)
     vectors = whole_vectors(rows).distinct()
     # A list needs one id more than its length, as one may be the query's own.
     by_vector = Window.partitionBy("vector").orderBy("vec_id")

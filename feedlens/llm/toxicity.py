@@ -39,7 +39,7 @@ THRESHOLD = 0.7
 SAMPLE = 50_000
 STEMS = range(4, 8)
 #: A term is in at least this share of the toxic documents, and at least so many.
-LEAST_SHARE, LEAST_DOCUMENTS = 0.003, 4
+LEAST_SHARE, LEAST_DOCUMENTS = 0.01, 4
 #: Log-odds from which a term is in the lexicon, and up to which a misspelling is harmless.
 LEXICON_ODDS, HARMLESS_ODDS = 2.5, 1.0
 #: Terms with the highest odds are kept.
