@@ -26,8 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     labels, total = _write(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")).select(
         "id", F.least("id", "label").alias("label")))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
-        spread, _ = _write(labels.unionByName(near).groupBy("id").agg(F.min("label").alias("label")))
+        near = both.join(labels.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "label")
+        spread = written_table(labels.unionByName(near).groupBy("id").agg(F.min("label").alias("label")), "components")
         owner = spread.select(F.col("id").alias("label"), F.col("label").alias("next"))
         labels, now = _write(spread.join(owner, "label").select("id", F.least("label", "next").alias("label")))
         if now == total:

@@ -142,8 +142,12 @@ def find_secrets(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         return ~(allowed[0] | allowed[1] | allowed[2])
 
     hot = F.flatten(F.transform(F.filter("candidates", open_candidate), lambda candidate: _hot_spans(candidate, window)))
-    known = F.concat(*[F.transform(name, lambda span: F.struct(span["start"].alias("start"), span["end"].alias("end"))) for name in ("assign", "access", "hex")])
-    fresh = lambda span: ~F.exists("known", lambda base: (base["start"] < span["end"]) & (span["start"] < base["end"]))
+    ends = lambda span: F.struct(span["start"].alias("start"), span["end"].alias("end"))
+    known = F.concat(*[F.transform(name, ends) for name in KINDS[:3]])
+
+    def fresh(span: Column) -> Column:
+        return ~F.exists("known", lambda base: (base["start"] < span["end"]) & (span["start"] < base["end"]))
+
     placed = found.withColumn("known", known).withColumn("hot", hot)
     return placed.select(
         "doc_id", *[_as(kind, F.col(kind)).alias(kind) for kind in KINDS[:3]],

@@ -160,10 +160,14 @@ def _search(shared, top: int):
             names += batch.column("point").to_pylist()
         # Bounds rise while the task works; its early finds are checked against the last.
         for start in range(0, len(numbers), 512):
-            rows = [(numbers[query], names[point], score) for query in range(start, min(start + 512, len(numbers)))
-                    for score, point in zip(best.scores[query].tolist(), best.points[query].tolist(), strict=True) if score >= best.bounds[query]]
-            query, point, score = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_pydict({"query": pa.array(query, pa.int64()), "point": pa.array(point, pa.int64()), "score": pa.array(score, pa.int64())})
+            rows = [
+                (numbers[query], names[point], score)
+                for query in range(start, min(start + 512, len(numbers)))
+                for score, point in zip(best.scores[query].tolist(), best.points[query].tolist(), strict=True)
+                if score >= best.bounds[query]
+            ]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], ["query", "point", "score"])
 
     return run
 
