@@ -37,6 +37,10 @@ TREE, LEAF = 16_384, 64
 #: Queries in a leaf: few, so that its worst score says much.
 QUERY_LEAF = 16
 FANOUT = 8
+#: Children whose radii are not below this share of their parent's prune nothing that it does not: the node stays a leaf.
+LEAST_GAIN = 0.95
+#: Queries and points of one product in a leaf.
+PRODUCT = (1024, 4096)
 
 
 @dataclass
@@ -68,11 +72,16 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = L
         far = int(apart.argmax())
     parts = [rows[nearest == number] for number in range(len(chosen))]
     parts = [part for part in parts if len(part)]
-    if len(parts) < 2:
+    if len(parts) < 2 or sum(len(part) * _spread(points[part]) for part in parts) > LEAST_GAIN * radius * len(rows):
         return Node(center, radius, rows, [])
     return Node(center, radius, rows, [cover_tree(points, part, leaf) for part in parts])
 
 
+def _spread(own: np.ndarray) -> float:
+    """The radius of points about their mean."""
+    return float(np.sqrt(((own - own.mean(axis=0)) ** 2).sum(axis=1).max()))
+
+
 def _most(query: Node, point: Node) -> float:
     """No pair of the two nodes has a larger inner product."""
     sizes = np.linalg.norm(query.center) * point.radius + np.linalg.norm(point.center) * query.radius
@@ -106,24 +115,38 @@ class Best:
         self.scores[query], self.points[query] = scores, points
 
 
+def exact_pair(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole-number rows in floating point, if all sums of their products stay exact in it, or as they are."""
+    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
+    return (left.astype(float), right.astype(float)) if most < 2**53 else (left, right)
+
+
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number rows."""
-    most = (np.abs(left).max(initial=0).astype(float)) * np.abs(right).max(initial=0).astype(float) * max(1, left.shape[1])
-    if most < 2**53:
-        return (left.astype(float) @ right.astype(float).T).astype(np.int64)
     return left @ right.T
 
 
+def _offer_leaves(left: np.ndarray, right: np.ndarray, query_rows: np.ndarray, point_rows: np.ndarray, best: Best, offset: int) -> None:
+    """All pairs of two leaves, in products of bounded size."""
+    for first in range(0, len(point_rows), PRODUCT[1]):
+        own = point_rows[first:first + PRODUCT[1]]
+        for start in range(0, len(query_rows), PRODUCT[0]):
+            asked = query_rows[start:start + PRODUCT[0]]
+            scores = products(left[asked], right[own])
+            reached = scores >= best.bounds[asked][:, None]
+            for row in np.flatnonzero(reached.any(axis=1)):
+                best.offer(int(asked[row]), scores[row, reached[row]].astype(np.int64), own[reached[row]] + offset)
+
+
 def dual_search(queries: np.ndarray, query_tree: Node, points: np.ndarray, best: Best, offset: int = 0) -> None:
     """Offers ``best`` every point that may be among a query's k best; point numbers start at ``offset``."""
+    left, right = exact_pair(queries, points)
     stack = [(query_tree, cover_tree(points.astype(float)))]
     while stack:
         query, point = stack.pop()
         if not len(query.rows) or not len(point.rows) or _most(query, point) < best.bounds[query.rows].min():
             continue
         if not query.children and not point.children:
-            for row, scores in zip(query.rows, products(queries[query.rows], points[point.rows]), strict=True):
-                best.offer(int(row), scores, point.rows + offset)
+            _offer_leaves(left, right, query.rows, point.rows, best, offset)
         elif point.children and (not query.children or _share(query, point) >= _share(point, query)):
             # The most promising child last, so that it is searched first and raises the bounds.
             stack += [(query, child) for child in sorted(point.children, key=lambda child: float(query.center @ child.center))]
@@ -177,7 +200,10 @@ def _query_block(rows: list, width: int, seeds: np.ndarray, top: int) -> tuple:
     queries = _matrix([row["vector"] for row in rows], width)
     bounds = np.full(len(rows), np.iinfo(np.int64).min)
     if len(seeds) >= top:
-        bounds = np.partition(products(queries, seeds), len(seeds) - top, axis=1)[:, len(seeds) - top]
+        left, right = exact_pair(queries, seeds)
+        for start in range(0, len(left), PRODUCT[0]):
+            scores = products(left[start:start + PRODUCT[0]], right)
+            bounds[start:start + PRODUCT[0]] = np.partition(scores, len(seeds) - top, axis=1)[:, len(seeds) - top]
     return [row["point"] for row in rows], queries, cover_tree(queries.astype(float), leaf=QUERY_LEAF), bounds
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from feedlens.llm import topk
-from feedlens.llm.topk import Best, cover_tree, dual_search, nearest, products
+from feedlens.llm.topk import Best, cover_tree, dual_search, exact_pair, nearest, products
 from tests.llm.conftest import rows_of
 
 
@@ -84,4 +84,4 @@ def test_the_walk_prunes_and_loses_nothing(monkeypatch):
 
 def test_large_values_are_exact():
     left = np.array([[2**30, 3], [-(2**30), 5]])
-    assert products(left, left).tolist() == [[2**60 + 9, -(2**60) + 15], [-(2**60) + 15, 2**60 + 25]]
+    assert products(*exact_pair(left, left)).tolist() == [[2**60 + 9, -(2**60) + 15], [-(2**60) + 15, 2**60 + 25]]
