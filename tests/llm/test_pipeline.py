@@ -5,7 +5,8 @@ from feedlens.llm import decontaminate, mixing, near_dedup, sharding, toxicity
 from tests.llm.conftest import rows_of
 
 
-def test_stages_take_effect(spark, small, tmp_path):
+def test_stages_take_effect(spark, tmp_path):
+    small = "/root/testdata/sf0.01"  # labels enough to learn from
     documents = spark.read.parquet(f"{small}/documents.parquet")
     labels, benchmark = spark.read.parquet(f"{small}/labels.parquet"), spark.read.parquet(f"{small}/benchmark.parquet")
     kept = {}
