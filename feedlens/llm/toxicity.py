@@ -4,7 +4,9 @@ The lexicon is learned: words, and stems of four to seven letters, that are far
 the documents labelled toxic than among the others, counted over all labelled documents that are
 not held out. Levenshtein automata walk its trie, so each word costs one step per letter
 and misspelled terms are found too; misspellings that clean documents use as well are taken out by the same counts.
-Each hit has a context: inside quotation marks or after a verb of saying it counts as quotation, next to a word of address as abuse.
+Each hit has a context: inside quotation marks or near a verb of saying it counts as quotation, next to a word of address as
+abuse. This is judged by occurrence; a quotation ends at its partner mark, on the same line and within ``MOST_QUOTED`` bytes,
+and a mark without a partner quotes nothing.
 
 A logistic model on the hits' features gives the score; it is fitted on a bounded, documented sample of
 the labelled documents (``SAMPLE``, lowest hashes). No label, language, source or id is a feature.
@@ -49,13 +51,27 @@ CONTEXT = 4
 
 SAYING = frozenset("said says saying called calls quote quoted quotes wrote writes word term phrase according cited".split())
 ADDRESS = frozenset("you your youre u he she they him her them are is such total".split())
-_WORD = re.compile(r"[0-9a-z\x80-\U0010FFFF]+")
+#: Bytes between the marks of a quotation, at most.
+MOST_QUOTED = 400
+_LETTER = rb"[0-9A-Za-z\x80-\xff]"
+#: A straight mark opens before text and closes after it, or both stand free; one after a letter or digit (an inch mark) opens nothing.
+_QUOTATION = re.compile(b"|".join([
+    rb'(?<!%b)"(?=\S)[^"\n]{0,%d}(?<=\S)"(?!%b)' % (_LETTER, MOST_QUOTED, _LETTER),
+    rb'(?<!\S)"(?=\s)[^"\n]{0,%d}(?<=\s)"(?!\S)' % MOST_QUOTED,
+    *["{0}(?:(?!{0}|{1})[^\n]){{0,{2}}}(?:{1})".format(*marks, MOST_QUOTED).encode() for marks in ("“”", "«»", ("„", "“|”"))],
+]))
+_MARKS = re.compile("“|”|„|«|»".encode())
+
+
+def _words(text: bytes) -> list[bytes]:
+    """Words in order; quotation marks beyond ASCII are not part of them."""
+    return words(text if text.isascii() else _MARKS.sub(b" ", text))
 
 
 def _terms(text: bytes) -> set[str]:
     """The distinct words of a text and their stems (with ``*``)."""
     found = set()
-    for raw in set(words(text)):
+    for raw in set(_words(text)):
         word = raw.decode()
         found.add(word)
         found.update(word[:length] + "*" for length in STEMS if len(word) >= length)
@@ -147,16 +163,21 @@ def _fuzzy_words(shared):
         for batch in batches:
             counts: Counter[str] = Counter()
             for text in text_bytes(batch):
-                counts.update(word.decode() for word in set(words(text)) if (hit := found[word]) and hit[0])
+                counts.update(word.decode() for word in set(_words(text)) if (hit := found[word]) and hit[0])
             yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
     return run
 
 
-def _quoted(line: str, start: int) -> bool:
-    """Whether a place of a line is inside quotation marks."""
-    before = line[:start]
-    return before.count('"') % 2 == 1 or before.count("“") > before.count("”") or before.count("«") > before.count("»")
+def _quoted_places(text: bytes) -> set[int]:
+    """The places, as in ``_words``, of the words inside quotations."""
+    places: set[int] = set()
+    at = end = 0
+    for match in _QUOTATION.finditer(text):
+        first = at + len(_words(text[end:match.start()]))
+        at, end = first + len(_words(match.group())), match.end()
+        places.update(range(first, at))
+    return places
 
 
 FEATURES = 9
@@ -164,19 +185,16 @@ FEATURES = 9
 
 def features(text: bytes, found: dict[bytes, tuple[int, int] | None], strengths: list[float]) -> list[float]:
     """Counts and strengths of the hits, apart by misspelling and context."""
-    own = words(text)
+    own = _words(text)
     hits = [(place, hit) for place, word in enumerate(own) if (hit := found[word])]
     if not hits:
         return [0.0] * FEATURES
-    quoted_at = set()
-    if any(mark in text for mark in (b'"', "“".encode(), "«".encode())):
-        for line in text.decode().lower().split("\n"):
-            quoted_at |= {match.group() for match in _WORD.finditer(line) if found[match.group().encode()] and _quoted(line, match.start())}
+    quoted_at = _quoted_places(text)
     exact = fuzzy = quoted = addressed = 0
     strength = []
     for place, (edits, term) in hits:
         around = {word.decode() for word in own[max(0, place - CONTEXT):place + CONTEXT + 1]}
-        if own[place].decode() in quoted_at or around & SAYING:
+        if place in quoted_at or around & SAYING:
             quoted += 1
             continue
         exact += edits == 0

@@ -1,10 +1,11 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from feedlens.llm.lexicon import FuzzyTrie, most_edits
-from feedlens.llm.toxicity import learn, scored, toxicity_report, without_toxic
+from feedlens.llm.toxicity import Lexicon, features, learn, scored, toxicity_report, without_toxic
 from tests.llm.conftest import rows_of
 
 
@@ -86,6 +87,26 @@ def test_misspellings_and_quotations(spark, tables, make_documents):
     assert scores[5] == scores[6] == scores[4]
 
 
+def test_quotation_is_judged_by_occurrence(spark, tables, make_documents):
+    found = Lexicon({"blockhead": 5.0}).finder()
+
+    def counted(text):
+        exact, quoted = (np.expm1(features(text.encode(), found, [5.0])[at]) for at in (1, 4))
+        return round(exact), round(quoted)
+
+    far = "and so on for a while, "
+    assert counted(f'"blockhead" was there, {far} you blockhead, {far} blockhead') == (2, 1)
+    assert counted(f'a 5" pipe, you blockhead, {far} blockhead') == (2, 0)
+    assert counted(f'"an open mark, you blockhead, {far} "an old one" blockhead') == (2, 0)
+    assert counted('"' + far * 40 + 'blockhead" and more') == (1, 0)
+    assert counted('“you blockhead” «blockhead» „blockhead“ blockhead “blockhead') == (2, 3)
+    assert counted('" blockhead " ("blockhead") blockhead" "blockhead\nblockhead"') == (3, 2)
+    model = learn(*tables)
+    texts = [f'there is "blockhead", {far} you blockhead and you blockhead', 'the 5" pipe for you blockhead', 'there is "blockhead" in it']
+    scores = {row.doc_id: row.score for row in scored(make_documents(texts), model, ["doc_id"]).collect()}
+    assert min(scores[0], scores[1]) > 0.7 > scores[2]
+
+
 def test_held_out_labels_are_never_read(spark, tables):
     documents, labels = tables
     from pyspark.sql import functions as F
