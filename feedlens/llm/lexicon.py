@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 #: Most edits of a term, by the first length that allows them.
 EDITS_FROM = ((10, 2), (5, 1))
 
+#: Nodes in the kept states of one trie, at most: then they are made anew.
+MOST_KEPT = 2_000_000
+
 
 def most_edits(term: str) -> int:
     return next((edits for length, edits in EDITS_FROM if len(term) >= length), 0)
@@ -41,6 +44,11 @@ class FuzzyTrie:
             self.nodes[at].term = number
         self.deepest = self._most_below()
         self.letters = {letter for node in self.nodes for letter in node.children}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Only the first state is left."""
+        self._kept = 0
         self._numbers: dict[frozenset, int] = {}
         self._states: list[tuple[dict[int, int], tuple[int, int] | None]] = []
         self._steps: list[dict[str, int]] = []
@@ -77,6 +85,7 @@ class FuzzyTrie:
         number = self._numbers.get(key)
         if number is None:
             number = self._numbers[key] = len(self._states)
+            self._kept += 1 + len(state)
             self._states.append((dict(state), stem))
             self._steps.append({})
             self._found.append(best)
@@ -96,6 +105,8 @@ class FuzzyTrie:
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(edits, term number) of the nearest term of a word, or None."""
+        if self._kept > MOST_KEPT:
+            self._forget()
         at = self.start
         for letter in word:
             letter = letter if letter in self.letters else ""

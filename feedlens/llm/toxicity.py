@@ -1,8 +1,8 @@
 """Toxicity of whole texts from a learned lexicon, its misspellings and their context.
 
-The lexicon is learned: words, and stems of four to seven letters, that are far more frequent among
+The lexicon is learned: words of any length, and stems of four to seven letters, that are far more frequent among
 the documents labelled toxic than among the others, counted over all labelled documents that are
-not held out. Levenshtein automata walk its trie, so each word costs one step per letter
+not held out. A rare term is taken if chance does not explain its counts, and all terms that pass are kept. Levenshtein automata walk its trie, so each word costs one step per letter
 and misspelled terms are found too; misspellings that clean documents use as well are taken out by the same counts.
 Each hit has a context: inside quotation marks or near a verb of saying it counts as quotation, next to a word of address as
 abuse. This is judged by occurrence; a quotation ends at its partner mark, on the same line and within ``MOST_QUOTED`` bytes,
@@ -40,12 +40,12 @@ from feedlens.session import written_table
 THRESHOLD = 0.7
 SAMPLE = 50_000
 STEMS = range(4, 8)
-#: A term is in at least this share of the toxic documents, and at least so many.
+#: A term in this share of the toxic documents, and at least so many, needs its odds alone.
 LEAST_SHARE, LEAST_DOCUMENTS = 0.01, 4
+#: Rarer ones need evidence: as many chance terms among all tested ones are expected to pass, at most.
+CHANCE_TERMS = 0.01
 #: Log-odds from which a term is in the lexicon, and up to which a misspelling is harmless.
 LEXICON_ODDS, HARMLESS_ODDS = 2.5, 1.0
-#: Terms with the highest odds are kept.
-MOST_TERMS = 2000
 #: Words on either side that make a hit's context.
 CONTEXT = 4
 
@@ -78,39 +78,54 @@ def _terms(text: bytes) -> set[str]:
     return found
 
 
-def _count_terms(wanted):
-    """``term, n`` over a task's documents; only the wanted terms, if given."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = wanted.value if wanted is not None else None
-        for batch in batches:
-            counts: Counter[str] = Counter()
-            for text in text_bytes(batch):
-                counts.update(_terms(text) if only is None else _terms(text) & only)
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
-
-    return run
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``term, toxic, clean``: a task's documents with the term, by label."""
+    for batch in batches:
+        counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+        for text, toxic in zip(text_bytes(batch), batch.column("toxic").to_pylist(), strict=True):
+            counts[toxic].update(_terms(text))
+        clean, toxic = counts
+        terms = list(clean | toxic)
+        yield pa.RecordBatch.from_pydict({
+            "term": pa.array(terms, pa.string()),
+            "toxic": pa.array([toxic[term] for term in terms], pa.int64()), "clean": pa.array([clean[term] for term in terms], pa.int64()),
+        })
 
 
 def _odds(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return math.log((toxic + 0.5) / (all_toxic + 1)) - math.log((clean + 0.5) / (all_clean + 1))
 
 
+def _strong(counts: DataFrame, all_toxic: int, all_clean: int) -> DataFrame:
+    """The terms whose odds are high, and not by chance, of ``term, toxic, clean``."""
+    n, share = F.col("toxic") + F.col("clean"), all_toxic / (all_toxic + all_clean)
+    part = F.col("toxic") / n
+    # Chernoff's bound of the chance that so many of n documents are toxic; exact if all are.
+    evidence = F.col("toxic") * F.log(part / share) + F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    tested = counts.where("toxic > 0").count()
+    odds = F.log((F.col("toxic") + 0.5) / (all_toxic + 1)) - F.log((F.col("clean") + 0.5) / (all_clean + 1))
+    common = F.col("toxic") >= max(LEAST_DOCUMENTS, math.ceil(LEAST_SHARE * all_toxic))
+    return counts.where(F.col("toxic") > 0).where(
+        (odds >= LEXICON_ODDS) & (common | (evidence >= math.log(max(1, tested) / CHANCE_TERMS))))
+
+
 def choose_lexicon(toxic: dict[str, int], clean: dict[str, int], all_toxic: int, all_clean: int) -> dict[str, float]:
-    """Terms and their odds; a stem replaces its words where it covers clearly more than any one of them."""
-    odds = {term: _odds(count, clean.get(term, 0), all_toxic, all_clean) for term, count in toxic.items()}
-    strong = {term: value for term, value in odds.items() if value >= LEXICON_ODDS and len(term) >= min(STEMS)}
+    """Strong terms and their odds; a stem replaces its words where it covers clearly more than any one of them."""
+    below: Counter[str] = Counter()
+    for term, count in toxic.items():
+        word = term.rstrip("*")
+        for length in STEMS:
+            if length < len(word) + (word == term):  # the word itself is below its stem, a stem is not
+                below[word[:length] + "*"] = max(below[word[:length] + "*"], count)
     kept = {}
-    for term in sorted(strong, key=lambda term: (len(term.rstrip("*")), term.endswith("*") is False, term)):
+    for term in sorted(toxic, key=lambda term: (len(term.rstrip("*")), term.endswith("*") is False, term)):
         word = term.rstrip("*")
         if any(word[:length] + "*" in kept for length in STEMS if length <= len(word)):
             continue
-        if term.endswith("*"):
-            below = max((count for other, count in toxic.items() if other != term and other.startswith(word)
-                         and (not other.endswith("*") or len(other) > len(term))), default=0)
-            if toxic[term] < 1.3 * below:
-                continue
-        kept[term] = strong[term]
-    return dict(sorted(kept.items(), key=lambda item: (-item[1], item[0]))[:MOST_TERMS])
+        if term.endswith("*") and toxic[term] < 1.3 * below[term]:
+            continue
+        kept[term] = _odds(toxic[term], clean[term], all_toxic, all_clean)
+    return dict(sorted(kept.items(), key=lambda item: (-item[1], item[0])))
 
 
 @dataclass
@@ -255,11 +270,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     if not all_toxic or not all_clean:
         return Model(Lexicon({}), None, share)
     toxic_rows, clean_rows = rows.where("toxic"), rows.where("not toxic")
-    # A share of all toxic documents: so few terms that their number does not grow with the documents.
-    least = max(LEAST_DOCUMENTS, math.ceil(LEAST_SHARE * all_toxic))
-    toxic = {row["term"]: row["n"] for row in _counted(toxic_rows, _count_terms(None)).where(F.col("n") >= least).collect()}
-    wanted = spark.sparkContext.broadcast(frozenset(toxic))
-    clean = {row["term"]: row["n"] for row in _counted(clean_rows, _count_terms(wanted)).collect()}
+    counts = rows.select("toxic", "text").mapInArrow(_count_terms, "term string, toxic long, clean long")
+    counts = written_table(counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-terms")
+    strong = _strong(counts, all_toxic, all_clean).collect()
+    toxic, clean = ({row["term"]: row[name] for row in strong} for name in ("toxic", "clean"))
     lexicon = Lexicon(choose_lexicon(toxic, clean, all_toxic, all_clean))
     shared = spark.sparkContext.broadcast(lexicon)
     misspelled = _counted(clean_rows, _fuzzy_words(shared)).withColumnRenamed("n", "clean").join(

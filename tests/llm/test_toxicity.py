@@ -4,8 +4,9 @@ import zlib
 import numpy as np
 import pytest
 
+from feedlens.llm import lexicon
 from feedlens.llm.lexicon import FuzzyTrie, most_edits
-from feedlens.llm.toxicity import Lexicon, features, learn, scored, toxicity_report, without_toxic
+from feedlens.llm.toxicity import Lexicon, choose_lexicon, features, learn, scored, toxicity_report, without_toxic
 from tests.llm.conftest import rows_of
 
 
@@ -87,6 +88,35 @@ def test_misspellings_and_quotations(spark, tables, make_documents):
     assert scores[5] == scores[6] == scores[4]
 
 
+def test_rare_and_short_terms_are_learned(spark, make_documents):
+    draw = random.Random(5)
+    rows, labels = [], []
+    for doc in range(12_000):
+        words = [f"word{draw.randrange(60)}" for _ in range(8)]
+        if doc % 3 == 0:
+            # 101 terms, each in less than a hundredth of the toxic documents; and one word of three letters.
+            words.insert(draw.randrange(8), "zug" if doc % 30 == 0 else f"{doc % 101:03d}slur")
+        rows.append((doc, " ".join(words), "s"))
+        labels.append((doc, int(doc % 3 == 0)))
+    model = learn(make_documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"zug"} | {f"{number:03d}slur" for number in range(101)} <= set(model.lexicon.odds)
+    assert not any(term.startswith("word") for term in model.lexicon.odds)
+    scores = {row.doc_id: row.score for row in scored(make_documents(["word1 zug", "word2 057slur", "word3 word4"]), model, ["doc_id"]).collect()}
+    assert min(scores[0], scores[1]) > 0.7 > scores[2]
+
+
+def test_more_terms_than_a_fixed_number_stay():
+    toxic = {f"t{number}": 50 for number in range(5000)}
+    stems = {"glor*": 90, "glorab": 50, "glorix": 45, "fnord*": 60, "fnordy": 58}
+    assert set(choose_lexicon(stems, dict.fromkeys(stems, 0), 1000, 1000)) == {"glor*", "fnordy"}
+    assert len(choose_lexicon(toxic, dict.fromkeys(toxic, 0), 1000, 1000)) == 5000
+
+
+def test_forgotten_states_change_nothing(monkeypatch):
+    monkeypatch.setattr(lexicon, "MOST_KEPT", 40)
+    test_automata_equal_edit_distance()
+
+
 def test_quotation_is_judged_by_occurrence(spark, tables, make_documents):
     found = Lexicon({"blockhead": 5.0}).finder()
 
