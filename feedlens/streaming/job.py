@@ -73,7 +73,10 @@ LOOK_BACK = 100
 
 
 def late_progress(valid: DataFrame, paths: StreamPaths, batch_id: int, delay_days: int = LATE_AFTER_DAYS) -> DataFrame:
-    """One row: the batch's events, those older than the newest event before it less the delay, and the newest so far."""
+    """One row: the batch's events, those older than the newest event before it less the delay, and the newest so far.
+
+    A batch without valid events carries the newest time on, so the batches looked back to hold it.
+    """
     earlier = existing_table(valid.sparkSession, paths.progress, PROGRESS).where(
         (F.col("batch_id") < batch_id) & (F.col("batch_id") >= batch_id - LOOK_BACK)
     )
@@ -81,7 +84,7 @@ def late_progress(valid: DataFrame, paths: StreamPaths, batch_id: int, delay_day
     late = F.col("event_timestamp") < newest - F.make_dt_interval(F.lit(delay_days))
     return valid.agg(
         F.count("*").alias("events_count"), F.count_if(F.coalesce(late, F.lit(False))).alias("late_count"),
-        F.max(F.greatest("event_timestamp", newest)).alias("newest_event"),
+        F.coalesce(F.max(F.greatest("event_timestamp", newest)), newest).alias("newest_event"),
     )
 
 

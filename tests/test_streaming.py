@@ -8,6 +8,7 @@ from feedlens.session import shared_folder
 from feedlens.sources.readers import read_event_stream
 from feedlens.sources.sinks import ScoreStore
 from feedlens.streaming import aggregates as G
+from feedlens.streaming import job
 from feedlens.streaming.job import StreamPaths, compact_closed_days, daily_totals, late_totals, process_batch, run_event_job, run_stream, validated_stream
 
 EVENTS = ("event_id STRING, user_id BIGINT, session_id STRING, event_type STRING, article_id BIGINT, "
@@ -74,6 +75,16 @@ def test_late_events_are_stored_and_counted(spark, tmp_path):
     assert spark.read.parquet(paths.raw_events).count() == 7
 
 
+def test_newest_time_outlives_batches_without_valid_events(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job, "LOOK_BACK", 2)
+    paths = StreamPaths(str(tmp_path))
+    run = process_batch(paths, ScoreStore(spark, str(tmp_path / "scores")))
+    values = [r.value for r in encode_events(spark.createDataFrame([event(1, 20), event(2, 1)], EVENTS)).collect()]
+    for number, value in enumerate([values[0], *["broken"] * 4, values[1]]):
+        run(validated_stream(spark.createDataFrame(log([value]), S.LOG_RECORD)), number)
+    assert late_totals(spark, paths).first().asDict() == {"events_count": 2, "late_count": 1}
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     batch = validated_stream(spark.createDataFrame([], S.LOG_RECORD))
     process_batch(StreamPaths(str(tmp_path / "out")), ScoreStore(spark, str(tmp_path / "s")))(batch, 0)
