@@ -35,8 +35,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its slot and shard."""
-    return sharding.place(docs)
+    """Every document with its slot and shard; input columns of these names are kept with ``input_`` in front."""
+    taken = {name.lower() for name in docs.columns}
+    renamed = {}
+    for name in docs.columns:
+        if name.lower() in sharding.RESULTS:
+            renamed[name] = f"input_{name}"
+            while renamed[name].lower() in taken:
+                renamed[name] = f"input_{renamed[name]}"
+    return sharding.place(docs.withColumnsRenamed(renamed))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -7,7 +7,8 @@ shards' names alone, never on the data, so its size is a checked setting. A row
 one hash and one lookup in the broadcast table: no shuffle, whatever its key's frequency.
 
 Defined results: a NULL key is placed like an empty one; equal keys always share a shard; an
-empty table gives an empty result; a clashing result column of the input is an error.
+empty table gives an empty result; a clashing result column of the input is an error
+here, and the pipeline keeps it under another name.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ DEFAULT_SHARDS = tuple(f"shard-{number:03d}" for number in range(64))
 DEFAULT_SLOTS = 65_537
 #: The table is broadcast: at most this many slots, some 16 MB.
 MOST_SLOTS = 1_048_583
+RESULTS = frozenset(("slot", "shard", "shard_name"))
 
 
 def _is_prime(number: int) -> bool:
@@ -74,7 +76,7 @@ def place(
     rows: DataFrame, key: str = "doc_id", shards: Sequence[str] = DEFAULT_SHARDS, slots: int = DEFAULT_SLOTS
 ) -> DataFrame:
     """``rows`` with ``slot``, ``shard`` and ``shard_name`` of their key."""
-    clash = {"slot", "shard", "shard_name"} & set(rows.columns)
+    clash = RESULTS & {name.lower() for name in rows.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are results of the placement")
     table = F.broadcast(lookup_table(rows.sparkSession, shards, slots))

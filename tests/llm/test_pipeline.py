@@ -34,3 +34,16 @@ def test_stages_take_effect(spark, tmp_path):
         kept[name] = len(ids)
     assert kept["toxicity"] < documents.count() and kept["near_dedup"] < kept["toxicity"] and kept["decontamination"] < kept["near_dedup"]
     assert rows_of(corpus_pipeline.run(spark, small), "doc_id", "n_chars", "shard") == rows_of(docs, "doc_id", "n_chars", "shard")
+
+
+def test_clashing_columns_are_kept_under_another_name(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    documents.selectExpr("*", "doc_id + 1 AS shard", "'x' AS input_shard", "'y' AS Slot").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert done.columns == [*documents.columns, "input_input_shard", "input_shard", "input_Slot", "slot", "shard", "shard_name"]
+    table = sharding.fill_slots(sharding.DEFAULT_SHARDS)
+    rows = done.collect()
+    assert rows and all(row.input_input_shard == row.doc_id + 1 and row.shard == table[row.slot] for row in rows)
