@@ -7,7 +7,8 @@ Queries go in blocks of bounded size. A block's cover tree is broadcast; each ta
 its own points and walks both trees together. A pair of nodes is pruned if the
 largest inner product that the two covering radii allow is below the worst k-th score of
 the node's queries. That score starts at a bound from a few points scored before, so tasks send little
-that cannot win. The tasks' lists are merged by query.
+that cannot win. The tasks' lists are merged by query. An id with several vectors is a point of each of them under
+its own name, of which a list holds the best alone.
 
 Scores are exact: products are summed in floating point only where every sum is a whole number below 2^53.
 
@@ -100,12 +101,18 @@ class Best:
         self.top, self.bounds = top, bounds.copy()
         self.scores: list[np.ndarray] = [np.zeros(0, np.int64)] * len(bounds)
         self.points: list[np.ndarray] = [np.zeros(0, np.int64)] * len(bounds)
+        #: By point number: its name, if points may share one; of these only the best counts.
+        self.names: np.ndarray | None = None
 
     def offer(self, query: int, scores: np.ndarray, points: np.ndarray) -> None:
         use = scores >= self.bounds[query]
         if not use.any():
             return
         scores, points = np.concatenate([self.scores[query], scores[use]]), np.concatenate([self.points[query], points[use]])
+        if self.names is not None:
+            order = np.lexsort((-scores, self.names[points]))
+            first = order[np.unique(self.names[points[order]], return_index=True)[1]]
+            scores, points = scores[first], points[first]
         if len(scores) >= self.top:
             # All points that tie with the k-th stay: ids decide later.
             limit = np.partition(scores, len(scores) - self.top)[len(scores) - self.top]
@@ -170,17 +177,20 @@ def _matrix(vectors: list[list[int]], width: int) -> np.ndarray:
     return matrix
 
 
-def _search(shared, top: int):
+def _search(shared, top: int, shared_names: bool):
     """``query, point, score`` of each task's points that may win."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, queries, tree, bounds = shared.value
         best, names = Best(bounds, top), []
         for batch in batches:
-            vectors = batch.column("vector").to_pylist()
+            vectors, before = batch.column("vector").to_pylist(), len(names)
+            names += batch.column("point").to_pylist()
+            if shared_names:
+                own = np.array(names[before:], np.int64)
+                best.names = own if best.names is None else np.concatenate([best.names, own])
             for start in range(0, len(vectors), TREE):
                 points = _matrix(vectors[start:start + TREE], queries.shape[1])
-                dual_search(queries, tree, points, best, len(names) + start)
-            names += batch.column("point").to_pylist()
+                dual_search(queries, tree, points, best, before + start)
         # Bounds rise while the task works; its early finds are checked against the last.
         for start in range(0, len(numbers), 512):
             rows = [
@@ -204,7 +214,7 @@ def _query_block(rows: list, width: int, seeds: np.ndarray, top: int) -> tuple:
         for start in range(0, len(left), PRODUCT[0]):
             scores = products(left[start:start + PRODUCT[0]], right)
             bounds[start:start + PRODUCT[0]] = np.partition(scores, len(seeds) - top, axis=1)[:, len(seeds) - top]
-    return [row["point"] for row in rows], queries, cover_tree(queries.astype(float), leaf=QUERY_LEAF), bounds
+    return [row["query"] for row in rows], queries, cover_tree(queries.astype(float), leaf=QUERY_LEAF), bounds
 
 
 def nearest(
@@ -217,31 +227,39 @@ def nearest(
     # A list needs one id more than its length, as one may be the query's own.
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
     is_query = F.col("vec_id") % every == 0
-    ids = vectors.withColumn("at", F.row_number().over(by_vector)).where(F.col("at") <= top + 1)
-    groups = ids.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    asked = vectors.where(is_query).select("vector").distinct().withColumn("asked", F.lit(True))
+    several = written_table(vectors.groupBy("vec_id").count().where("count > 1").select("vec_id", F.lit(True).alias("several")), "topk-several")
+    shared_names = not several.isEmpty()
+    ids = vectors.withColumn("at", F.row_number().over(by_vector)).where(F.col("at") <= top + 1).drop("at")
+    ids = ids.join(several, "vec_id", "left") if shared_names else ids.withColumn("several", F.lit(None).cast("boolean"))
+    # Ids with one vector are grouped by it; the others keep their own names.
+    groups = ids.groupBy("vector", F.when(F.col("several"), F.col("vec_id")).alias("several")).agg(
+        F.array_sort(F.collect_list("vec_id")).alias("ids"))
     points = written_table(
-        groups.join(asked, "vector", "left").select(
-            F.element_at("ids", 1).alias("point"), F.xxhash64("vector").alias("place"), "vector", "ids",
-            F.coalesce("asked", F.lit(False)).alias("asked"),
-        ),
+        groups.select(F.element_at("ids", 1).alias("point"), F.xxhash64("vector").alias("place"), "vector", "ids",
+                      F.col("several").isNotNull().alias("several")),
         "topk-points",
     )
-    sizes = points.agg(F.max(F.size("vector")).alias("width"), F.count_if("asked").alias("n")).first()
-    width, blocks = sizes["width"] or 0, -(-int(sizes["n"]) // query_block)
-    sample = _matrix([row["vector"] for row in points.orderBy("place", "point").limit(seeds).collect()], width)
+    queries = vectors.where(is_query).select("vector").distinct()
+    queries = written_table(queries.select(F.monotonically_increasing_id().alias("query"), F.xxhash64("vector").alias("place"), "vector"), "topk-queries")
+    width, blocks = points.agg(F.max(F.size("vector"))).first()[0] or 0, -(-queries.count() // query_block)
+    # Seeds are different ids' points: their k-th score is one that k ids reach.
+    chosen = {row["point"]: row["vector"] for row in points.orderBy("place", "point").limit(seeds).collect()}
+    sample = _matrix(list(chosen.values()), width)
     found = None
     for block in range(blocks):
-        own = points.where(F.col("asked") & (F.pmod("place", F.lit(blocks)) == block)).select("point", "vector")
+        own = queries.where(F.pmod("place", F.lit(blocks)) == block).select("query", "vector")
         shared = spark.sparkContext.broadcast(_query_block(own.collect(), width, sample, top + 1))
-        part = points.select("point", "vector").mapInArrow(_search(shared, top + 1), "query long, point long, score long")
+        part = points.select("point", "vector").mapInArrow(_search(shared, top + 1, shared_names), "query long, point long, score long")
         found = part if found is None else found.unionAll(part)
     if found is None:
         found = spark.createDataFrame([], "query long, point long, score long")
+    if shared_names:
+        found = found.groupBy("query", "point").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("query").orderBy(F.desc("score"), "point")
     # Points carry their smallest id, so the best top + 1 points hold the best top + 1 ids.
     best = found.withColumn("at", F.row_number().over(by_query)).where(F.col("at") <= top + 1)
-    named = best.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
+    named = best.join(points.where("not several").select("point", "ids"), "point", "left").select(
+        "query", "score", F.explode(F.coalesce("ids", F.array("point"))).alias("vec_id"))
     by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     lists = written_table(
         named.withColumn("at", F.row_number().over(by_id)).where(F.col("at") <= top + 1).groupBy("query").agg(
@@ -249,7 +267,7 @@ def nearest(
         "topk-lists",
     )
     asking = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "vector").join(
-        points.where("asked").select("vector", F.col("point").alias("query")), "vector").select("query_id", "query")
+        queries.select("vector", "query"), "vector").select("query_id", "query")
     answers = asking.join(lists, "query").select("query_id", F.explode("list").alias("one")).where(F.col("query_id") != F.col("one.vec_id"))
     by_row = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     answers = answers.groupBy("query_id", F.col("one.vec_id").alias("vec_id")).agg(F.max("one.score").alias("score"))

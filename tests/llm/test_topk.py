@@ -57,6 +57,17 @@ def test_odd_vectors(spark):
     assert rows_of(nearest(extra), *NAMES) == brute(rows[:3], 20, 20)
 
 
+def test_ids_with_several_vectors(spark, some):
+    shared = [(5, [1.0, 0.0]), (9, [1.0, 0.0]), (5, [0.0, 1.0]), (20, [1.0, 2.0]), (40, [0.0, 1.0]), (40, [1.0, 0.0])]
+    assert rows_of(nearest(vectors(spark, shared)), *NAMES) == brute(shared, 20, 20)
+    draw = np.random.default_rng(4)
+    rows = some[:200] + [(5 + number % 9, (6 * draw.normal(size=8)).astype("float32").tolist()) for number in range(300)]
+    rows += [(number, rows[-1 - number % 40][1]) for number in range(500, 560)]
+    expected = brute(rows, 7, 5)
+    assert rows_of(nearest(vectors(spark, rows), 7, 5), *NAMES) == expected
+    assert rows_of(nearest(vectors(spark, rows).repartition(6), 7, 5, query_block=10, seeds=30), *NAMES) == expected
+
+
 def test_every_point_is_within_its_covering_radius():
     points = np.random.default_rng(2).normal(size=(3000, 5)) * 50
     def walk(node):
