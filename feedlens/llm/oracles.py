@@ -215,6 +215,83 @@ SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, doc.doc_id) AS
 FROM doc LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
 """
 
+#: Levels that are enough for 8^9 leaves and as many langs as 8^3; a group that is one node already stays as it is.
+_LEAF_LEVELS, _LANG_LEVELS = 9, 3
+
+
+def _merkle_level(number: int, nodes: str, groups: str, above: str) -> str:
+    """One level: every run's digest, and each node's siblings; groups of one node are passed on."""
+    return f"""
+{above}{number}_runs AS (
+    SELECT {groups}, place // 8 AS place, sha256(string_agg(digest, '' ORDER BY place)) AS digest,
+           list(digest ORDER BY place) AS run FROM {nodes} GROUP BY ALL
+), {above}{number}_many AS (
+    SELECT {groups}, count(*) > 1 AS many FROM {nodes} GROUP BY ALL
+), {above}{number} AS (
+    SELECT {groups}, r.place, CASE WHEN many THEN r.digest ELSE run[1] END AS digest, many, run
+    FROM {above}{number}_runs r JOIN {above}{number}_many m USING ({groups})
+)"""
+
+
+def _merkle() -> str:
+    levels, nodes = [], "leaves"
+    for number in range(1, _LEAF_LEVELS + 1):
+        levels.append(_merkle_level(number, nodes, "part", "n"))
+        nodes = f"n{number}"
+    tops, nodes = [], "subroots"
+    for number in range(1, _LANG_LEVELS + 1):
+        tops.append(_merkle_level(number, nodes, "whole", "t"))
+        nodes = f"t{number}"
+    # A leaf's way up: its place on a level is its place divided by 8 per level.
+    joins, siblings, folds = [], [], []
+    for names, count, own, key in (("n", _LEAF_LEVELS, "l.place", "part"), ("t", _LANG_LEVELS, "s.place", "whole")):
+        for number in range(1, count + 1):
+            name, below = f"{names}{number}", f"({own} // {8 ** (number - 1)}) % 8"
+            on = f"{name}.part = l.part" if key == "part" else f"{name}.whole = s.whole"
+            joins.append(f"JOIN {name} ON {on} AND {name}.place = {own} // {8 ** number}")
+            others = f"list_slice({name}.run, 1, {below}), list_slice({name}.run, {below} + 2, 8)"
+            siblings.append(f"CASE WHEN {name}.many THEN array_to_string(list_concat({others}), '') ELSE '' END")
+            # A node's fold: the run with this node put in its place.
+            folds.append((name, f"list_slice({name}.run, 1, {below})", f"list_slice({name}.run, {below} + 2, 8)"))
+    steps, before = [], "changed AS f0"
+    for number, (name, left, right) in enumerate(folds, start=1):
+        steps.append(
+            f"f{number} AS (SELECT * EXCLUDE (f{number - 1}, {name}_left, {name}_right, {name}_many), CASE WHEN {name}_many THEN "
+            f"sha256(array_to_string({name}_left, '') || f{number - 1} || array_to_string({name}_right, '')) ELSE f{number - 1} END AS f{number} "
+            f"FROM {'ways' if number == 1 else f'f{number - 1}'})"
+        )
+    carried = ", ".join(f"{left} AS {name}_left, {right} AS {name}_right, {name}.many AS {name}_many" for name, left, right in folds)
+    cells = ["doc_id", "source", "lang", "n_chars"]
+    cell = {name: f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || {name}, '-')" for name in cells}
+    text = "coalesce(strlen({0}) || ':' || {0}, '-')"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "crc"
+    for _ in range(8):
+        bits = f"list_transform([{bits}], lambda c: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)[1]"
+    crc = (
+        "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+        f"lambda d: CAST(ascii(d) AS BIGINT))), lambda state, byte: {bits.replace('crc', 'xor(state, byte)')}), 4294967295)"
+    )
+    head = " || ".join(cell.values())
+    return f"""
+WITH digests AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS part, sha256({head} || {text.format('text')}) AS leaf,
+           CASE WHEN coalesce({crc} % 3 = 0, false) THEN sha256({head} || {text.format(lower)}) END AS tampered
+    FROM documents
+), leaves AS (
+    SELECT doc_id, part, leaf AS digest, coalesce(tampered, leaf) AS changed,
+           row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM digests
+), {', '.join(levels)}, subroots AS (
+    SELECT 0 AS whole, part, digest, row_number() OVER (ORDER BY encode(part)) - 1 AS place FROM n{_LEAF_LEVELS}
+), {', '.join(tops)}, ways AS (
+    SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, (SELECT digest FROM t{_LANG_LEVELS}) AS root,
+           sha256({' || '.join(siblings)}) AS proof_sha256, {carried}, l.{before}
+    FROM leaves l JOIN subroots s ON s.part = l.part {' '.join(joins)}
+), {', '.join(steps)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f{len(folds)} AS folded_root, f{len(folds)} = root AS verified FROM f{len(folds)}
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_nearest_vectors": _NEAREST,
     "op2_chat_windows": _CHAT,
@@ -223,4 +300,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": _SECRETS,
     "op8_repeated_lines": _LINES,
     "op10_near_duplicates": _NEAR,
+    "op12_manifest": _merkle(),
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import chat, decontaminate, line_dedup, mixing, near_dedup, personal_data, secrets, sharding, topk, toxicity
+from feedlens.llm import (
+    chat, decontaminate, line_dedup, merkle, mixing, near_dedup, personal_data, secrets, sharding, token_files, topk, toxicity,
+)
 from feedlens.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -65,10 +67,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_nearest_vectors, op2_chat_windows, op3_contamination, op4_shards, op5_toxicity, op6_mix, op7_secrets,
-        op8_repeated_lines, op9_personal_data, op10_near_duplicates,
+        op8_repeated_lines, op9_personal_data, op10_near_duplicates, op11_token_files, op12_manifest,
     )
 }
