@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.llm import (
-    chat, decontaminate, line_dedup, merkle, mixing, near_dedup, personal_data, secrets, sharding, token_files, topk, toxicity,
+    alignment, chat, decontaminate, line_dedup, merkle, mixing, near_dedup, personal_data, secrets, sharding, token_files, topk, toxicity,
 )
 from feedlens.llm.oracles import ORACLES
 
@@ -75,10 +75,15 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_nearest_vectors, op2_chat_windows, op3_contamination, op4_shards, op5_toxicity, op6_mix, op7_secrets,
         op8_repeated_lines, op9_personal_data, op10_near_duplicates, op11_token_files, op12_manifest,
+        op13_alignment,
     )
 }
