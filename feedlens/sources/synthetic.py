@@ -59,8 +59,10 @@ def synthetic_articles(ids: DataFrame, now: datetime, id_col: str = "id", seed:
         F.round(F.lit(1.0) + (X.draw(seed, "popularity", number) % 9901) / 100, 2).alias("popularity_score"),
     ).withColumns({
         "source_url": url,
-        "author": F.concat(F.lit("Demo Author "), (zero_based % 20 + 1).cast("string")),
-        "content": F.concat("title", F.lit(". Generated text for demonstrations, "), (number % 9 + 1).cast("string"), F.lit(" minutes to read.")),
+        "author": F.concat(F.lit("Demo Author "), ((F.col("article_id") - 1) % 20 + 1).cast("string")),
+        "content": F.concat(
+            "title", F.lit(". Generated text for demonstrations, "), (F.col("article_id") % 9 + 1).cast("string"), F.lit(" minutes to read.")
+        ),
     })
 
 
