@@ -12,6 +12,7 @@ from feedlens.operators.ranking import left_join_spread, paged, top_per_key, tot
 NEWEST_FIRST = ("published_at", "article_id")
 LIST_COLUMNS = ("article_id", "title", "summary", "source_url", "category_id", "author",
                 "published_at", "created_at", "popularity_score")
+SEARCHED = ("title", "summary", "content")
 PATCHABLE = ("title", "summary", "content", "source_url", "category_id", "author",
              "published_at", "popularity_score")
 
@@ -58,28 +59,37 @@ def category_name(own_name: Column, category: Column) -> Column:
 
 
 # --- search and pages -------------------------------------------------------
+def like_pattern(term: str | None, escape: bool = False) -> str | None:
+    """The LIKE pattern of a search term; None for a missing or empty one, which matches all."""
+    if not term:
+        return None
+    text = term.strip()
+    if escape:
+        for special in ("\\", "%", "_"):
+            text = text.replace(special, "\\" + special)
+    return f"%{text}%"
+
+
+def matches(articles: DataFrame, pattern: str) -> Column:
+    hit = F.lit(False)
+    for name in SEARCHED:
+        if name in articles.columns:
+            hit = hit | F.coalesce(F.col(name).ilike(pattern), F.lit(False))
+    return hit
+
+
 def search_articles(articles: DataFrame, term: str | None = None, category_id: int | None = None,
                     escape: bool = False) -> DataFrame:
     """Case-insensitive substring of title, summary or content, and category equality.
 
     ``%`` and ``_`` in the term are wildcards unless ``escape`` is set; a blank term
-    matches all.
+    matches all. ``search_index`` does the same without comparing every text.
     """
     found = articles
     if category_id is not None:
         found = found.where(F.col("category_id") == category_id)
-    if term:
-        text = term.strip()
-        if escape:
-            for special in ("\\", "%", "_"):
-                text = text.replace(special, "\\" + special)
-        pattern = f"%{text}%"
-        hit = F.lit(False)
-        for name in ("title", "summary", "content"):
-            if name in articles.columns:
-                hit = hit | F.coalesce(F.col(name).ilike(pattern), F.lit(False))
-        found = found.where(hit)
-    return found
+    pattern = like_pattern(term, escape)
+    return found if pattern is None else found.where(matches(found, pattern))
 
 
 def feed_page(articles: DataFrame, limit: int = 20, offset: int = 0, term: str | None = None,
