@@ -7,6 +7,7 @@ from feedlens.plans import (  # noqa: F401
     content_queries,
     event_queries,
     function_queries,
+    incremental_queries,
     index_queries,
     recommend_queries,
     report_queries,
