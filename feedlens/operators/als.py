@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens import schemas as S
-from feedlens.operators.ranking import top_per_key, with_positions
+from feedlens.operators.inner_product import top_by_inner_product
+from feedlens.operators.ranking import with_positions
 from feedlens.operators.recommend import RecommendationSettings
 from feedlens.session import enable_checkpoints, written_table
 
@@ -43,32 +42,12 @@ def fit_als(triples: DataFrame, settings: RecommendationSettings) -> ALSModel:
     return als.fit(triples)
 
 
-def _asked_lists(model: ALSModel, asked: DataFrame, read: DataFrame, top_n: int) -> DataFrame:
-    """The model's best articles of each asked user, enough that ``top_n`` unread ones are among them.
-
-    Users are asked for by classes of the number of articles they have read, 2^k - 1 at most in
-    class k: so many more articles than ``top_n`` are fetched, and few calls serve all users.
-    """
-    counts = asked.join(read.groupBy("user_id").agg(F.count("*").alias("_read")), "user_id")
-    classed = counts.select("user_id", F.length(F.bin("_read")).alias("_class")).persist()
-    try:
-        classes = sorted(row["_class"] for row in classed.select("_class").distinct().collect())  # 64 at most
-        lists = [
-            written_table(model.recommendForUserSubset(
-                classed.where(F.col("_class") == number).select("user_id"), top_n + 2**number - 1
-            ).select("user_id", F.inline("recommendations")), "als-lists")
-            for number in classes
-        ]
-    finally:
-        classed.unpersist()
-    return reduce(DataFrame.unionByName, lists)
-
-
 def als_candidates(ratings: DataFrame, eligible: DataFrame, articles: DataFrame,
                    settings: RecommendationSettings) -> DataFrame:
     """The best ``top_n`` unread known articles of each eligible user.
 
-    Ratings of unknown articles are left out before the fit, so that they take no places.
+    Ratings of unknown articles are left out before the fit, so that they take no places. The factors are searched with the
+    read articles left out, until no article left can be among a user's best.
     """
     known = ratings.join(articles.select("article_id"), "article_id", "left_semi")
     served = eligible.join(known, "user_id", "left_semi")
@@ -80,14 +59,15 @@ def als_candidates(ratings: DataFrame, eligible: DataFrame, articles: DataFrame,
     ), "als-ratings")
     model = fit_als(triples, settings)
     asked = _encode(served.select("user_id"), "user_id", user_ids)
-    offers = _asked_lists(model, asked, triples, settings.top_n).join(triples.drop("rating"), ["user_id", "article_id"], "left_anti")
-    unread = (
+    people = model.userFactors.withColumnRenamed("id", "user_id").join(asked, "user_id", "left_semi")
+    things = model.itemFactors.withColumnRenamed("id", "article_id")
+    offers = top_by_inner_product(people, things, triples.select("user_id", "article_id"), settings.top_n)
+    return (
         _decode(_decode(offers, "user_id", user_ids), "article_id", item_ids)
         .select(
-            "user_id", "article_id", F.col("rating").cast("double").alias("score"),
+            "user_id", "article_id", "score",
             F.lit(S.REASON_ALS).alias("reason"),
             F.lit(settings.model_version).alias("model_version"),
             F.lit(S.PRIORITY_ALS).alias("source_priority"),
         )
     )
-    return top_per_key(unread, ["user_id"], [F.desc("score"), F.asc("article_id")], settings.top_n)

@@ -9,6 +9,7 @@ from feedlens.operators import recommend as R
 from feedlens.operators.als import als_candidates
 from feedlens.operators.content import with_article
 from feedlens.operators.events import dedupe_events
+from feedlens.operators.inner_product import top_by_inner_product
 from feedlens.plans.recommendation_batch import recommend
 from feedlens.plans.registry import Tables, query
 from feedlens.plans.views import RATING
@@ -336,3 +337,28 @@ def recommendation_store(t: Tables):
     write_recommendations(_renewed(t).where("score < 0"), path)
     write_recommendations(_renewed(t), path)
     return t.spark.read.schema(S.RECOMMENDATIONS).parquet(path)
+
+
+# --- exact best items by inner product
+def _vectors(t: Tables):
+    """Whole-number vectors of users and articles, of very different lengths."""
+    def vector(*values):
+        return F.array(*[value.cast("double") for value in values]).alias("features")
+
+    number = F.col("user_id")
+    users = t.users.select("user_id", vector(number % 5 + 1, number % 7, number % 11 - 3))
+    article, step = F.col("article_id"), F.when(F.col("article_id") % 50 == 0, 40).otherwise(1)
+    return users, t.articles.select("article_id", vector(step * (article % 13), step * (article % 17 - 4), step * (article % 3 + 1)))
+
+
+@query("best_unread_by_vectors", """SELECT user_id, article_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, article_id) AS place FROM (
+      SELECT u.user_id, a.article_id, CAST((u.user_id % 5 + 1) * s * (a.article_id % 13) + (u.user_id % 7) * s * (a.article_id % 17 - 4)
+        + (u.user_id % 11 - 3) * s * (a.article_id % 3 + 1) AS DOUBLE) AS score
+      FROM feed_users u CROSS JOIN (SELECT article_id, CASE WHEN article_id % 50 = 0 THEN 40 ELSE 1 END AS s FROM feed_articles) a
+      WHERE NOT EXISTS (SELECT 1 FROM events_valid e WHERE e.user_id = u.user_id AND e.article_id = a.article_id)))
+  WHERE place <= 10""")
+def best_unread_by_vectors(t: Tables):
+    """Ten best articles of every user by inner product, those of the user's events left out."""
+    users, articles = _vectors(t)
+    return top_by_inner_product(users, articles, t.events.select("user_id", "article_id").dropna().distinct(), 10)
