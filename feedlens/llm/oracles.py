@@ -134,12 +134,16 @@ WITH doc AS (
     SELECT r, ord, kind, start, start + length(found) AS stop FROM spans
     WHERE (ord = 0 AND length(regexp_extract(found, '^[A-Za-z_]+?["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6)
        OR (ord = 1 AND length(found) >= 20) OR (ord = 2 AND length(found) >= 24)
+), masked AS (
+    SELECT r, start, found, array_to_string(list_transform(regexp_extract_all(
+             regexp_replace(found, '[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}', repeat('.', 36), 'g'), '[A-Za-z0-9]+|[^A-Za-z0-9]+'),
+             lambda part: CASE WHEN regexp_matches(part, '^(?:[A-Z]{4,}|[A-Z]?[a-z]{3,}(?:[A-Z][a-z]+)*)$')
+               OR regexp_matches(part, '(?i)example|placeholder|sample|dummy|xxxx|changeme|abcdefgh|0123456789')
+             THEN repeat('.', length(part)) ELSE part END), '') AS held
+    FROM spans WHERE ord = 3 AND length(found) >= 20
 ), windows AS (
-    SELECT r, start, found, unnest(generate_series(0, length(found) - 20)) AS pos FROM spans
-    WHERE ord = 3 AND length(found) >= 20
-      AND NOT regexp_matches(found, '^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$')
-      AND NOT regexp_matches(found, '^[A-Za-z/_=+-]+$')
-      AND NOT regexp_matches(found, '(?i)example|placeholder|sample|dummy|xxxx|changeme|abcdefgh|0123456789')
+    SELECT * FROM (SELECT r, start, found, held, unnest(generate_series(0, length(found) - 20)) AS pos FROM masked)
+    WHERE NOT contains(substr(held, pos + 1, 20), '.')
 ), letters AS (
     SELECT r, start, pos, regexp_matches(found, '^[0-9a-fA-F]+$') AS hexa, letter, count(*) AS n
     FROM (SELECT *, unnest(string_split(substr(found, pos + 1, 20), '')) AS letter FROM windows) GROUP BY ALL

@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -60,6 +61,64 @@ def test_entropy_finds_random_strings_and_spares_the_allow_list(spark, make_docu
     assert all(rows[number].n_entropy == 0 for number in range(1, len(spared) + 1))
 
 
+def test_a_secret_beside_an_allow_listed_word(spark, make_documents):
+    secret = "Zx9Qw3Er7Ty1Ui5Op2As8Df4Gh6Jk0Lz"
+    texts = [f"config/sample/key={secret}", f"see EXAMPLE_{secret}", f"123e4567-e89b-12d3-a456-426614174000/{secret}", "QwErTyUiOpAsDfGhJkLzXcVb",
+             "getElementByIdFromDocumentTree/someOtherWord"]
+    rows = {row.doc_id: row for row in secret_report(make_documents(texts)).collect()}
+    found = [[texts[number][int(start):int(end)] for _, start, end in (span.split(":") for span in rows[number].spans.split(",") if span)] for number in rows]
+    assert all(len(own) == 1 and secret in own[0] and "sample" not in own[0] and "EXAMPLE" not in own[0] for own in found[:3])
+    assert found[3] == [texts[3]] and found[4] == []
+
+
+def brute_spans(text):
+    """Entropy spans by direct counts of every window."""
+    spans = []
+    for match in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        found = match.group()
+        limit = 3.0 if re.fullmatch("[0-9a-fA-F]+", found) else 3.8
+        held = re.sub("[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "." * 36, found)
+        held = re.sub("[A-Za-z0-9]+", lambda part: "." * len(part.group()) if re.fullmatch("[A-Z]{4,}|[A-Z]?[a-z]{3,}(?:[A-Z][a-z]+)*", part.group())
+                      or re.search("(?i)example|placeholder|sample|dummy|xxxx|changeme|abcdefgh|0123456789", part.group()) else part.group(), held)
+        for at in range(len(held) - 19):
+            window = held[at:at + 20]
+            if "." in window or -sum(n / 20 * math.log2(n / 20) for n in Counter(window).values()) < limit - 1e-9:
+                continue
+            start = match.start() + at
+            if spans and spans[-1][1] >= start:
+                spans[-1][1] = start + 20
+            else:
+                spans.append([start, start + 20])
+    base = brute_base(text)
+    return [(start, end) for start, end in spans if not any(a < end and start < b for _, a, b in base)]
+
+
+def test_entropy_spans_equal_brute_force(spark, make_documents):
+    draw = random.Random(9)
+    letters = string.ascii_letters + string.digits + "+/_=-"
+    pieces = ["".join(draw.choice(letters) for _ in range(draw.randrange(1, 150))) for _ in range(60)]
+    pieces += ["sample", "/", "word", "SomeWord", "123e4567-e89b-12d3-a456-426614174000", "aaaaaaaaaaaaaaaaaaaaaaaa", " ", "é", "\n", "0f3a9c" * 7]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randrange(8))) for _ in range(200)]
+    for row in secret_report(make_documents(texts)).collect():
+        found = [tuple(map(int, span.split(":")[1:])) for span in row.spans.split(",") if span.startswith("entropy")]
+        assert found == brute_spans(texts[row.doc_id]), texts[row.doc_id]
+
+
+def test_long_candidates_take_linear_time(spark, make_documents):
+    draw = random.Random(1)
+    letters = string.ascii_letters + string.digits
+    took = {}
+    for length in (20_000, 20_000, 80_000):
+        text = "".join(draw.choice(letters) for _ in range(length))
+        start = time.time()
+        row = secret_report(make_documents([text])).first()
+        took[length] = time.time() - start
+        assert row.n_entropy >= 1
+    assert took[80_000] < 12 * took[20_000] + 5
+    many = secret_report(make_documents([" ".join(["Zx9Qw3Er7Ty1Ui5Op2As8Df4"] * 20_000)])).first()
+    assert many.n_entropy == 20_000
+
+
 def test_empty_table_repeats_and_extra_columns(spark, make_documents):
     docs = make_documents([(None, "token=abcdefgh", "a"), (4, "token=abcdefgh", "a"), (4, "token=abcdefgh", "a")]).selectExpr("*", "1 AS assign", "2 AS hot")
     assert [row.spans for row in secret_report(docs).collect()] == ["assign:0:14"] * 3
