@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from feedlens.plans import (  # noqa: F401
     cache_queries,
+    change_queries,
     content_queries,
     event_queries,
     function_queries,
