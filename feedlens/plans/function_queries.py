@@ -14,6 +14,7 @@ from feedlens.operators import events as E
 from feedlens.operators import recommend as R
 from feedlens.operators.aggregates import rollup
 from feedlens.plans.registry import Tables, query
+from feedlens.sources import quotas as Q
 from feedlens.sources import synthetic as Y
 from feedlens.sources.bridge import table
 
@@ -202,3 +203,19 @@ def synthetic_checks(t: Tables):
     return totals.select(
         "*", *[wrong_links.select(name).scalar().alias(name) for name in wrong_links.columns]
     )
+
+
+_TOTAL = sum(S.EVENT_MIX.values())
+_QUOTAS = ", ".join(
+    f"('{name}', {upto - share}, {upto}, {share})" for (name, share), upto in zip(S.EVENT_MIX.items(), accumulate(S.EVENT_MIX.values()), strict=True))
+
+
+@query("synthetic_type_quotas", f"""SELECT event_type, n * upto // {_TOTAL} - n * below // {_TOTAL} AS events_count,
+    n * CAST(weight AS DOUBLE) / {_TOTAL} AS expected,
+    pow(n * upto // {_TOTAL} - n * below // {_TOTAL} - n * CAST(weight AS DOUBLE) / {_TOTAL}, 2) / (n * CAST(weight AS DOUBLE) / {_TOTAL}) AS deviation
+  FROM (VALUES {_QUOTAS}) AS q(event_type, below, upto, weight), (SELECT count(*) AS n FROM events)""")
+def synthetic_type_quotas(t: Tables):
+    """Types of synthetic events with exact shares, one event per row of the events."""
+    users, articles = Y.event_references(t.users, t.articles)
+    rows = table(t.spark, t.sf_dir, "events").select("event_id")
+    return Q.draw_profile(Y.synthetic_events(rows, users, articles, NOW, "event_id", exact_types=True), S.EVENT_MIX)

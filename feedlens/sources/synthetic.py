@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from feedlens import schemas as S
 from feedlens.functions import expressions as X
 from feedlens.operators.ranking import left_join_spread, with_positions
+from feedlens.sources.quotas import by_quota
 
 
 def synthetic_users(ids: DataFrame, id_col: str = "id", domain: str = "example.com") -> DataFrame:
@@ -111,13 +112,14 @@ def event_references(users: DataFrame, articles: DataFrame, max_users: int | Non
 
 
 def synthetic_events(rows: DataFrame, users: DataFrame, articles: DataFrame, now: datetime,
-                     id_col: str = "id", seed: int = 42) -> DataFrame:
+                     id_col: str = "id", seed: int = 42, exact_types: bool = False) -> DataFrame:
     """One event per input row over the given users (user_id) and articles
     (article_id, category_id), within the 30 days before ``now``.
 
     Users, articles and categories are numbered once; a draw modulo their count picks a
     number and an equi join finds the id. Draws are uniform, and rows without an article or
-    category are dealt by row, so no join key is hot.
+    category are dealt by row, so no join key is hot. With ``exact_types`` every type has exactly its share of the rows (to less than one
+    row), otherwise on average; rows are then numbered by their ids first.
     """
     key = F.col("row_id")
     numbered_users = with_positions(users.select("user_id"), [], [F.asc("user_id")], "user_no")
@@ -135,9 +137,13 @@ def synthetic_events(rows: DataFrame, users: DataFrame, articles: DataFrame, now
 
     is_article = F.col("event_type").isin(*S.ARTICLE_EVENT_TYPES)
     is_category = F.col("event_type").isin(*S.CATEGORY_EVENT_TYPES)
+    keyed, event_type = rows.select(F.col(id_col).cast("long").alias("row_id")), _event_type(X.draw(seed, "type", key))
+    if exact_types:
+        keyed = with_positions(keyed, [], [F.asc("row_id")], "row_no")
+        count = keyed.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        event_type = by_quota(F.col("row_no") - 1, count, S.EVENT_MIX, seed)
     drawn = (
-        rows.select(F.col(id_col).cast("long").alias("row_id"))
-        .withColumn("event_type", _event_type(X.draw(seed, "type", key)))
+        keyed.withColumn("event_type", event_type)
         .withColumn("user_no", X.draw(seed, "user", key) % size(numbered_users) + 1)
         .withColumn("article_no",
                     F.when(is_article, X.draw(seed, "article", key) % size(numbered_articles) + 1))
