@@ -8,9 +8,10 @@ similarity limit of 0.8 a pair shares none with a chance of 2 in 100,000.
 1. One pass makes sets of shingle hashes, signatures and digests. Equal sets form one class.
 2. Buckets: a task links what it holds of a large bucket itself and sends one row, so no bucket is gathered whole. Small
    buckets compare 128 one-bit values of each pair, which drops chance meetings. What remains links classes to candidate groups.
-3. A group is cut into blocks; every pair of blocks is one unit of work, in which the full sets of two blocks are
-   intersected at once, by matrix product. It returns the links that connect its texts, never all pairs; a pair
-   it leaves out is already connected.
+3. A group is cut into blocks. The full sets of a block, and that of the group's first text with every block, are
+   intersected at once, by matrix product. Near copies are connected by this alone, each text being sent once. Only the texts that do
+   not belong to their group's largest part are then held against all blocks of their group. Parts are
+   returned as stars about their smallest id, never as pairs, so that the same part found twice is the same links.
 4. Components of the links, over classes, then over documents by their class.
 
 Links are confirmed on the sets of 64-bit shingle hashes of whole texts.
@@ -41,11 +42,11 @@ from feedlens.session import written_table
 WIDTH, PERCENT = 5, 80
 CHUNKS, CHUNK = 8, 5
 CHECK_BITS = 128
-#: One-bit values in which a pair at the limit may differ: its mean of 12.8 and five deviations.
-CHECK_DISTANCE = 30
+#: One-bit values in which a pair at the limit may differ: its mean of 12.8 and near seven deviations. Chance meetings lie at 64.
+CHECK_DISTANCE = 36
 #: A bucket of more members is not compared: they are one candidate group.
 COMPARED = 256
-BLOCK = 512
+BLOCK = 256
 #: Shingles in one matrix product.
 COLUMNS = 1 << 14
 
@@ -135,13 +136,16 @@ _BUCKET_ROW = "key long, id long, n long, check binary, other long"
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per key and class; of a large bucket, one row (without check) and links to it (``other``)."""
+    """A row per key and class; of a large bucket, its smallest id (without check) and links to that (``other``)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(batch.num_rows, -1)
+        order = np.argsort(batch.column("id").to_numpy(zero_copy_only=False), kind="stable")
+        signatures, batch = signatures[order], batch.take(pa.array(order))
         ids, sizes = batch.column("id").to_numpy(zero_copy_only=False), batch.column("n").to_numpy(zero_copy_only=False)
         checks = batch.column("check").to_pylist()
+        # By ascending id, so that the first row of a key is its smallest id.
         keys = _bucket_keys(signatures)
         member = np.repeat(np.arange(batch.num_rows), keys.shape[1])
         keys = keys.ravel()
@@ -166,15 +170,15 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _link_small(ids: np.ndarray, sizes: np.ndarray, checks: list[bytes], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the members of a bucket whose sizes and one-bit values allow the limit."""
+    """Stars of the members of a bucket whose sizes and one-bit values allow the limit."""
     bits = np.frombuffer(b"".join(checks), np.uint64).reshape(len(ids), -1)
     apart = np.bitwise_count(bits[:, None, :] ^ bits[None, :, :]).sum(axis=2)
     small, large = np.minimum(sizes[:, None], sizes[None, :]), np.maximum(sizes[:, None], sizes[None, :])
-    return _spanning(ids, ids, (apart <= CHECK_DISTANCE) & (100 * small >= percent * large))
+    return _stars(ids, ids, (apart <= CHECK_DISTANCE) & (100 * small >= percent * large))
 
 
-def _spanning(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
-    """Few links that connect the same ids as the matrix ``linked`` does."""
+def _stars(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """The parts that the matrix ``linked`` connects, as links from each part's smallest id to its others."""
     parent: dict[int, int] = {}
 
     def root(node: int) -> int:
@@ -182,17 +186,15 @@ def _spanning(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> list[t
             parent[node] = node = parent[parent[node]]
         return node
 
-    links = []
     for one, two in zip(*np.nonzero(linked), strict=True):
-        a, b = int(left[one]), int(right[two])
-        if a != b and (first := root(a)) != (second := root(b)):
-            parent[max(first, second)] = min(first, second)
-            links.append((a, b))
-    return links
+        first, second = root(int(left[one])), root(int(right[two]))
+        # The smallest id of a part is its root.
+        parent[max(first, second)] = min(first, second)
+    return [(root(node), node) for node in list(parent) if root(node) != node]
 
 
 def _bucket_links(percent: int):
-    """Links from rows sorted by key; a bucket is held only up to ``COMPARED`` members."""
+    """Links from rows sorted by key and id; a bucket is held only up to ``COMPARED`` members, a larger one is a star about its first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, head = None, [], None
 
@@ -245,21 +247,45 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` that connect all classes whose signatures meet, from ``id, n, signature, check``."""
     rows = classes.select("id", "n", "signature", "check").mapInArrow(_bucket_rows, _BUCKET_ROW)
-    dealt = rows.repartition("key").sortWithinPartitions("key")
+    dealt = rows.repartition("key").sortWithinPartitions("key", "id")
     return dealt.mapInArrow(_bucket_links(percent), "a long, b long").distinct()
 
 
-def _block_pairs(groups: DataFrame, block: int) -> DataFrame:
-    """``id, pair, place`` with the pairs of blocks that an id takes part in; place: its own block in the pair (0 or 1, or both: 2)."""
+def _blocked(groups: DataFrame, block: int) -> DataFrame:
+    """``id, label, blocks, own`` of every group's members: the group's number of blocks, and the member's own."""
     counts = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     counted = join_split_hot(groups, written_table(counts, "near-counts"), "label", "members")
     blocks = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = counted.withColumn("blocks", blocks).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    place = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    pair = F.xxhash64("label", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select("id", pair.alias("pair"), place.alias("place"))
+    return counted.select("id", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("own"))
+
+
+def _own_blocks(blocked: DataFrame) -> DataFrame:
+    """``id, unit, place``: every member in its own block, a group's first member, whose id is the label, in all blocks."""
+    first = F.col("id") == F.col("label")
+    block = F.explode(F.when(first, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("block")
+    return blocked.select("id", "label", block).select("id", F.xxhash64("label", "block").alias("unit"), F.lit(2).alias("place"))
+
+
+def _rest_blocks(blocked: DataFrame, found: DataFrame, block: int) -> DataFrame | None:
+    """``id, unit, place`` of groups of several blocks with members outside their largest part: these against all blocks."""
+    several = blocked.where("blocks > 1").join(found.withColumnRenamed("label", "part"), "id", "left")
+    several = written_table(several.withColumn("part", F.coalesce("part", "id")), "near-parts")
+    sizes = several.groupBy("label", "part").agg(F.count(F.lit(1)).alias("size"))
+    # max_by combines in the map tasks: of a group's parts, however many, one row per task is sent.
+    main = sizes.groupBy("label").agg(
+        F.max(F.struct("size", "part"))["part"].alias("main"), F.sum("size").alias("members"), (F.sum("size") - F.max("size")).alias("others")
+    )
+    main = written_table(main.where("others > 0").withColumn("rests", F.ceil(F.col("others") / block).cast("int")), "near-main")
+    if main.isEmpty():
+        return None
+    members = written_table(join_split_hot(several, main, "label", "members"), "near-rest")
+    rests = F.sequence(F.lit(0), F.col("rests") - 1)
+    right = members.select("id", "label", F.explode(rests).alias("rest"), F.col("own").alias("block"), F.lit(1).alias("place"))
+    own_rest = F.pmod(F.xxhash64(F.lit(1), "id"), "rests").cast("int")
+    left = members.where("part <> main").select(
+        "id", "label", own_rest.alias("rest"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("place")
+    )
+    return left.unionByName(right).select("id", F.xxhash64("label", "rest", "block").alias("unit"), "place")
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -282,7 +308,7 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
 
 
 def _verify(members: list[tuple[int, int, bytes]], width: int, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links that connect the texts of one pair of blocks."""
+    """Stars of the texts that confirmed links connect: those on the left (place 0 or 2) with those on the right (1 or 2)."""
     hashes = _WordHashes()
     sets = [shingle_set(text, width, hashes) for _, _, text in members]
     ids, place = np.array([member[0] for member in members]), np.array([member[1] for member in members])
@@ -292,19 +318,19 @@ def _verify(members: list[tuple[int, int, bytes]], width: int, percent: int) ->
     both = _intersections(sets, left, right)
     size = np.array([len(own) for own in sets])
     union = size[left][:, None] + size[right][None, :] - both
-    return _spanning(ids[left], ids[right], (both > 0) & (100 * both >= percent * union))
+    return _stars(ids[left], ids[right], (both > 0) & (100 * both >= percent * union))
 
 
-def _verify_pairs(width: int, percent: int):
-    """Confirmed links from texts sorted by pair of blocks."""
+def _verify_units(width: int, percent: int):
+    """Confirmed links from texts sorted by unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, members = None, []
+        unit, members = None, []
         for batch in batches:
             links = []
-            for key, number, place, text in zip(*[batch.column(name).to_pylist() for name in ("pair", "id", "place")], text_bytes(batch), strict=True):
-                if key != pair:
+            for key, number, place, text in zip(*[batch.column(name).to_pylist() for name in ("unit", "id", "place")], text_bytes(batch), strict=True):
+                if key != unit:
                     links += _verify(members, width, percent) if len(members) > 1 else []
-                    pair, members = key, []
+                    unit, members = key, []
                 members.append((number, place, text))
             yield _pairs(links)
         yield _pairs(_verify(members, width, percent) if len(members) > 1 else [])
@@ -312,32 +338,58 @@ def _verify_pairs(width: int, percent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, class_digest, component_id, kept`` of every document."""
+def _confirmed(documents: DataFrame, units: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` among the texts of each unit of ``units`` (``id, unit, place``)."""
+    units = written_table(units, "near-units")
+    # Only the texts of groups are shuffled: a bounded filter of their ids drops most others first.
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("doc_id is not null")
+    texts = possible_members(texts, "id", id_filter(units, "id")).join(units.hint("merge"), "id")
+    texts = texts.repartition("unit").sortWithinPartitions("unit")
+    return texts.mapInArrow(_verify_units(width, percent), "a long, b long").distinct()
+
+
+def confirmed_parts(documents: DataFrame, groups: DataFrame, width: int, percent: int, block: int) -> DataFrame:
+    """``id, label`` of the texts of candidate groups (``id, label``) that confirmed links connect."""
+    blocked = written_table(_blocked(groups, block), "near-blocked")
+    links = written_table(_confirmed(documents, _own_blocks(blocked), width, percent), "near-links")
+    found = written_table(components(links), "near-found")
+    rest = _rest_blocks(blocked, found, block)
+    if rest is None:
+        return found
+    return components(links.unionByName(_confirmed(documents, rest, width, percent)))
+
+
+def _sketched(documents: DataFrame, width: int) -> DataFrame:
     ship_package(documents.sparkSession)
     doc_type = documents.schema["doc_id"].dataType.simpleString()
-    sketches = written_table(
-        documents.select("doc_id", "text").mapInArrow(
-            _sketch(width), f"doc_id {doc_type}, n_shingles long, digest binary, signature binary, check binary"
-        ),
-        "near-sketches",
-    )
-    worded = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = written_table(
-        worded.groupBy("digest").agg(
-            F.min(F.struct(F.col("doc_id").cast("long").alias("id"), F.col("n_shingles").alias("n"), "signature", "check")).alias("first"),
-            F.count(F.lit(1)).alias("copies"),
-        ).select("digest", "copies", "first.*"),
-        "near-classes",
+    columns = f"doc_id {doc_type}, n_shingles long, digest binary, signature binary, check binary"
+    return written_table(documents.select("doc_id", "text").mapInArrow(_sketch(width), columns), "near-sketches")
+
+
+def _worded(sketches: DataFrame) -> DataFrame:
+    return sketches.where("n_shingles > 0 and doc_id is not null")
+
+
+def _classes(sketches: DataFrame) -> DataFrame:
+    """``digest, copies, id, n, signature, check`` of every distinct set, ``id`` being its smallest doc_id."""
+    first = F.min(F.struct(F.col("doc_id").cast("long").alias("id"), F.col("n_shingles").alias("n"), "signature", "check")).alias("first")
+    return written_table(
+        _worded(sketches).groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies")).select("digest", "copies", "first.*"), "near-classes"
     )
-    groups = components(candidate_links(classes, percent))
-    pairs = written_table(_block_pairs(groups, block), "near-pairs")
-    # Only the texts of groups are shuffled: a bounded filter of their ids drops most others first.
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("doc_id is not null")
-    texts = possible_members(texts, "id", id_filter(groups, "id")).join(pairs.hint("merge"), "id")
-    texts = texts.repartition("pair").sortWithinPartitions("pair")
-    links = texts.mapInArrow(_verify_pairs(width, percent), "a long, b long").distinct()
-    found = components(links)
+
+
+def sketched_classes(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    return _classes(_sketched(documents, width))
+
+
+def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, class_digest, component_id, kept`` of every document."""
+    doc_type = documents.schema["doc_id"].dataType.simpleString()
+    sketches = _sketched(documents, width)
+    worded = _worded(sketches)
+    classes = _classes(sketches)
+    groups = written_table(components(candidate_links(classes, percent)), "near-groups")
+    found = confirmed_parts(documents, groups, width, percent, block)
     of_class = written_table(
         classes.join(found, "id", "left").select("digest", "copies", F.coalesce("label", "id").alias("component")), "near-components"
     )

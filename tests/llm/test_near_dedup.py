@@ -84,3 +84,43 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {found[n] for n in range(41)} == {0} and {found[100 + n] for n in range(30)} == {100}
     assert {found[n] for n in (201, 202, 203)} == {201} and found[300] == 300
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_random_components(spark):
+    draw = random.Random(4)
+    for size, count in ((60, 50), (300, 200), (40, 400)):
+        links = [(draw.randrange(size), draw.randrange(size)) for _ in range(count)]
+        label = {}
+
+        def root(node):
+            while label.setdefault(node, node) != node:
+                node = label[node]
+            return node
+
+        for a, b in links:
+            one, two = sorted((root(a), root(b)))
+            label[two] = one
+        found = {row.id: row.label for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert found == {node: root(node) for node in list(label)}
+
+
+@pytest.mark.parametrize("changes", [1, 4])
+def test_links_of_one_group_stay_few(spark, make_documents, invented, changes):
+    """2,000 near copies over many partitions: a few links per text of the 40 that its buckets could give."""
+    base = invented(77, 200)
+    docs = make_documents([(number, edited(base, changes, number), "s") for number in range(2000)]).repartition(60)
+    classes = near_dedup.sketched_classes(docs, 5)
+    assert near_dedup.candidate_links(classes, 80).count() <= 10 * 2000
+    if changes == 1:  # with more, two copies of one text are below the limit
+        assert near_duplicates(docs, 5).where("kept").count() == 1
+
+
+def test_texts_outside_the_largest_part(spark, make_documents, invented):
+    """A candidate group of several parts: what the first step leaves out is held against all blocks."""
+    rows = [(number, edited(invented(5, 120), 2 + number % 30, number)) for number in range(150)]
+    docs = make_documents([(doc, text, "s") for doc, text in rows])
+    group = docs.selectExpr("doc_id AS id", "0L AS label")
+    expected = {row[0]: row[2] for row in brute(rows, 5)}
+    for block in (7, 40):
+        found = {row.id: row.label for row in near_dedup.confirmed_parts(docs, group, 5, 80, block).collect()}
+        assert {doc: found.get(doc, doc) for doc, _ in rows} == expected
