@@ -29,6 +29,15 @@ def rollup(events: DataFrame, *keys: str) -> DataFrame:
     return dated.groupBy(*wanted).agg(F.count("*").alias(X.EVENTS))
 
 
+def counted(events: DataFrame) -> DataFrame:
+    """Rows that stand for ``n`` events each: a rollup, or the events themselves.
+
+    Conditional sums straight by a report's key combine in the map tasks and are shuffled once; a rollup first pays only
+    where several reports read it.
+    """
+    return events if X.EVENTS in events.columns else events.withColumn(X.EVENTS, F.lit(1).cast("long"))
+
+
 def with_members(events: DataFrame, keys: list[str], member: str, name: str) -> DataFrame:
     """``events_count`` and the number of distinct non-NULL members per ``keys``."""
     return rollup(events, *keys, member).groupBy(*keys).agg(
@@ -64,10 +73,10 @@ def daily_event_stats(events: DataFrame) -> DataFrame:
 
 def category_score_deltas(events: DataFrame) -> DataFrame:
     """Change of interest per (user, category) over the given events."""
-    typed = rollup(events.where(F.col("category_id").isNotNull()), "user_id", "category_id", "event_type")
+    linked = counted(events.where(F.col("category_id").isNotNull()))
     pairs = {"views_delta": ("view_article",), "likes_delta": ("like_article", "unlike_article"),
              "saves_delta": ("save_article", "unsave_article")}
-    return typed.groupBy("user_id", "category_id").agg(
+    return linked.groupBy("user_id", "category_id").agg(
         X.score_sum(S.INTEREST_WEIGHTS).alias("score_delta"), *[X.net_count(*types).alias(name) for name, types in pairs.items()]
     )
 

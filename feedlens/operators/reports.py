@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions import expressions as X
-from feedlens.operators.aggregates import DAY, report_rollup, rollup, with_members
+from feedlens.operators.aggregates import DAY, counted, report_rollup, rollup, with_members
 from feedlens.operators.events import choose_source, dedupe_events
 from feedlens.operators.ranking import top_per_key
 from feedlens.session import written_table
@@ -59,7 +59,7 @@ def favorite_categories(events: DataFrame, categories: DataFrame, user_id: int |
     linked = events.where(F.col("category_id").isNotNull() & F.col("user_id").isNotNull())
     if user_id is not None:
         linked = linked.where(F.col("user_id") == user_id)
-    grouped = rollup(linked, "user_id", "category_id", "event_type").groupBy("user_id", "category_id").agg(
+    grouped = counted(linked).groupBy("user_id", "category_id").agg(
         X.events_sum().alias("events_count"), *_counters(), X.score_sum().alias("score")
     ).join(_category_names(categories), "category_id")
     order = [F.desc("score"), F.desc("events_count"), F.asc("category_id")]
@@ -90,8 +90,7 @@ def score_totals(scores: DataFrame, user_id: int | None = None) -> DataFrame:
 
 # --- top lists --------------------------------------------------------------
 def top_categories(events: DataFrame, categories: DataFrame, limit: int = 10) -> DataFrame:
-    typed = rollup(events.where(F.col("category_id").isNotNull()), "category_id", "user_id", "event_type")
-    by_user = typed.groupBy("category_id", "user_id").agg(X.events_sum().alias(X.EVENTS), X.score_sum().alias("score"))
+    by_user = counted(events.where(F.col("category_id").isNotNull())).groupBy("category_id", "user_id").agg(X.events_sum().alias(X.EVENTS), X.score_sum().alias("score"))
     grouped = by_user.groupBy("category_id").agg(
         X.events_sum().alias("events_count"), F.count("user_id").alias("unique_users_count"), F.sum("score").alias("score")
     )
@@ -113,8 +112,7 @@ def top_categories_from_scores(scores: DataFrame, categories: DataFrame, limit:
 
 
 def article_counters(events: DataFrame) -> DataFrame:
-    typed = rollup(events.where(F.col("article_id").isNotNull()), "article_id", "event_type")
-    return typed.groupBy("article_id").agg(
+    return counted(events.where(F.col("article_id").isNotNull())).groupBy("article_id").agg(
         *_counters(),
         X.net_count(CLICKED).alias("opens_from_recommendations_count"),
         X.score_sum().alias("score"),

@@ -52,12 +52,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    A session without the setting uses a folder below its warehouse, which is shared too.
+    A session without the setting uses a folder below its warehouse. On a cluster that must not be the driver's own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see; the warehouse is on the driver's machine")
+    return f"{warehouse}/_runs"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from feedlens import session
 from feedlens.operators import aggregates as A
 from feedlens.operators import content as C
 from feedlens.operators import events as E
@@ -61,3 +62,24 @@ def test_dedupe_cuts_copies_before_the_shuffle(spark, small):
 def test_sums_are_combined_before_the_shuffle(spark, small):
     text = plan(A.category_score_deltas(bridge.order_events(spark, small)))
     assert "partial_sum" in text
+
+
+def test_counters_are_grouped_once(spark, small):
+    """Conditional sums combine in the map tasks and are shuffled once by the report's key."""
+    events = bridge.feed_events(spark, small)
+    for frame in (P.article_counters(events), A.category_score_deltas(events)):
+        assert len(re.findall(r"\bExchange hashpartitioning", plan(frame))) == 1
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf(dict):
+        def get(self, name, default=None):
+            return super().get(name, default)
+
+    class Session:
+        conf = Conf({"spark.sql.warehouse.dir": "file:/home/driver/warehouse", "spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+    Session.conf["spark.master"] = "local[4]"
+    assert session.shared_folder(Session()) == "file:/home/driver/warehouse/_runs"
