@@ -34,6 +34,7 @@ from feedlens.llm.boosting import fit_logistic, score_logistic
 from feedlens.llm.decontaminate import words
 from feedlens.llm.id_filter import id_filter, possible_members
 from feedlens.llm.lexicon import FuzzyTrie
+from feedlens.llm.sampling import lowest_hashes
 from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
@@ -51,14 +52,13 @@ CONTEXT = 4
 
 SAYING = frozenset("said says saying called calls quote quoted quotes wrote writes word term phrase according cited".split())
 ADDRESS = frozenset("you your youre u he she they him her them are is such total".split())
-#: Bytes between the marks of a quotation, at most.
-MOST_QUOTED = 400
 _LETTER = rb"[0-9A-Za-z\x80-\xff]"
+#: A quotation ends at its partner mark on the line, however far: each scan stops at the next mark or line, so all are linear.
 #: A straight mark opens before text and closes after it, or both stand free; one after a letter or digit (an inch mark) opens nothing.
 _QUOTATION = re.compile(b"|".join([
-    rb'(?<!%b)"(?=\S)[^"\n]{0,%d}(?<=\S)"(?!%b)' % (_LETTER, MOST_QUOTED, _LETTER),
-    rb'(?<!\S)"(?=\s)[^"\n]{0,%d}(?<=\s)"(?!\S)' % MOST_QUOTED,
-    *["{0}(?:(?!{0}|{1})[^\n]){{0,{2}}}(?:{1})".format(*marks, MOST_QUOTED).encode() for marks in ("“”", "«»", ("„", "“|”"))],
+    rb'(?<!%b)"(?=\S)[^"\n]*(?<=\S)"(?!%b)' % (_LETTER, _LETTER),
+    rb'(?<!\S)"(?=\s)[^"\n]*(?<=\s)"(?!\S)',
+    *["{0}(?:(?!{0}|{1})[^\n])*(?:{1})".format(*marks).encode() for marks in ("“”", "«»", ("„", "“|”"))],
 ]))
 _MARKS = re.compile("“|”|„|«|»".encode())
 
@@ -281,7 +281,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     lexicon = Lexicon(lexicon.odds, frozenset(
         row["term"] for row in misspelled.toLocalIterator() if _odds(row["toxic"], row["clean"], all_toxic, all_clean) <= HARMLESS_ODDS))
     shared = spark.sparkContext.broadcast(lexicon)
-    chosen = rows.mapInArrow(_features_of(shared, "features"), "toxic boolean, place long, features array<double>")
+    chosen = rows.where(lowest_hashes("place", sample, all_toxic + all_clean)).mapInArrow(
+        _features_of(shared, "features"), "toxic boolean, place long, features array<double>")
     fitted = chosen.orderBy("place", "toxic", "features").limit(sample).toPandas()
     labels_of = fitted["toxic"].to_numpy(float)
     if labels_of.min() == labels_of.max():

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -128,7 +129,7 @@ def test_quotation_is_judged_by_occurrence(spark, tables, make_documents):
     assert counted(f'"blockhead" was there, {far} you blockhead, {far} blockhead') == (2, 1)
     assert counted(f'a 5" pipe, you blockhead, {far} blockhead') == (2, 0)
     assert counted(f'"an open mark, you blockhead, {far} "an old one" blockhead') == (2, 0)
-    assert counted('"' + far * 40 + 'blockhead" and more') == (1, 0)
+    assert counted('"' + far * 40 + 'blockhead" and more') == (0, 1)
     assert counted('“you blockhead” «blockhead» „blockhead“ blockhead “blockhead') == (2, 3)
     assert counted('" blockhead " ("blockhead") blockhead" "blockhead\nblockhead"') == (3, 2)
     model = learn(*tables)
@@ -162,3 +163,16 @@ def test_without_labels_and_empty_tables(spark, tables, make_documents):
     odd = make_documents([(None, "you blockhead", "s"), (1, "a", "s"), (1, "a", "s")])
     more = labels.unionByName(spark.createDataFrame([(None, 1), (1, None), (1, 0), (1, 1)], "doc_id long, toxic int"))
     assert len(toxicity_report(odd, more).collect()) == 3
+
+
+def test_long_quotations_are_quotations():
+    found = Lexicon({"blockhead": 5.0}).finder()
+    for opens, closes in ('""', "“”", "«»", "„”"):
+        for filler in ("and so on ", "и так далее "):
+            text = f"{opens}a blockhead {filler * 3000}the end{closes} he wrote on, {filler}{filler} you blockhead"
+            values = features(text.encode(), found, [5.0])
+            assert (round(np.expm1(values[1])), round(np.expm1(values[4]))) == (1, 1)
+    start = time.time()
+    features(('"a blockhead ' * 100_000).encode(), found, [5.0])
+    features(("“ blockhead " * 100_000).encode(), found, [5.0])
+    assert time.time() - start < 60
