@@ -5,7 +5,7 @@ the documents labelled toxic than among the others, counted over all labelled do
 not held out. A rare term is taken if chance does not explain its counts, and all terms that pass are kept. Levenshtein automata walk its trie, so each word costs one step per letter
 and misspelled terms are found too; misspellings that clean documents use as well are taken out by the same counts.
 Each hit has a context: inside quotation marks or near a verb of saying it counts as quotation, next to a word of address as
-abuse. This is judged by occurrence; a quotation ends at its partner mark, on the same line and within ``MOST_QUOTED`` bytes,
+abuse. This is judged by occurrence; a quotation ends at its partner mark on the same line, however far,
 and a mark without a partner quotes nothing.
 
 A logistic model on the hits' features gives the score; it is fitted on a bounded, documented sample of
