@@ -10,7 +10,8 @@ from feedlens.plans.registry import Tables, query
 
 _URL = "https://example.com/a/"
 #: Of four neighbours the first moves away, the second takes its url, the third wants that of the fourth, which is
-#: deleted or renamed; then a new article claims the fourth's url.
+#: deleted or renamed; then a new article claims the fourth's url. The SQL numbers it ``_NEW`` above the old one. With more than
+#: ``_NEW`` articles that id belongs to another, so in the log it is the old one's negative, which no article has.
 _NEW = 1_000_000
 
 
@@ -34,20 +35,26 @@ def change_log(t: Tables) -> DataFrame:
     renamed = change(number * 10, "patch", number, F.lit("renamed"), none, no_category, ["title"])
     gone = change(number * 10, "delete", number, none, none, no_category, [])
     claim = change(
-        number * 10 + 1, "create", number + _NEW, F.lit("new"), url(-1), F.when(number % 24 == 0, F.lit(99)).otherwise(F.lit(2)), [],
+        number * 10 + 1, "create", -number, F.lit("new"), url(-1), F.when(number % 24 == 0, F.lit(99)).otherwise(F.lit(2)), [],
     )
     last = F.when(number % 8 == 0, F.array(gone, claim)).otherwise(F.array(renamed, claim))
     changes = F.when(turn == 1, F.array(one)).when(turn == 2, F.array(two)).when(turn == 3, F.array(three)).otherwise(last)
     return t.articles.select(F.inline(changes))
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """New articles under the ids that the SQL gives them."""
+    number = F.col("article_id")
+    return df.withColumn("article_id", F.when(number < 0, _NEW - number).otherwise(number))
+
+
 @query("article_log_conflicts", f"""SELECT a.article_id * 10 AS order_no, 'patch' AS op, a.article_id, 'source_url_taken' AS conflict
     FROM feed_articles a JOIN feed_articles b ON b.article_id = a.article_id + 1 WHERE a.article_id % 4 = 3
   UNION ALL SELECT article_id * 10 + 1, 'create', article_id + {_NEW},
     CASE WHEN article_id % 24 = 0 THEN 'category_not_found' ELSE 'source_url_taken' END
     FROM feed_articles WHERE article_id % 24 = 0 OR article_id % 8 = 4""")
 def log_conflicts(t: Tables):
-    return replay_changes(t.articles, change_log(t), t.categories)[1].select("order_no", "op", "article_id", "conflict")
+    return _shown(replay_changes(t.articles, change_log(t), t.categories)[1]).select("order_no", "op", "article_id", "conflict")
 
 
 @query("article_log_result", f"""SELECT a.article_id, CASE WHEN a.article_id % 8 = 4 THEN 'renamed' ELSE a.title END AS title,
@@ -58,4 +65,4 @@ def log_conflicts(t: Tables):
     FROM feed_articles a LEFT JOIN feed_articles b ON b.article_id = a.article_id + 1 WHERE a.article_id % 8 <> 0
   UNION ALL SELECT article_id + {_NEW}, 'new', source_url, 2 FROM feed_articles WHERE article_id % 8 = 0 AND article_id % 24 <> 0""")
 def log_result(t: Tables):
-    return replay_changes(t.articles, change_log(t), t.categories)[0].select("article_id", "title", "source_url", "category_id")
+    return _shown(replay_changes(t.articles, change_log(t), t.categories)[0]).select("article_id", "title", "source_url", "category_id")

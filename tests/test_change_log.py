@@ -79,3 +79,21 @@ def test_random_logs(spark, seed):
         changes.append((order_no, op, draw.randrange(9), f"t{order_no}", draw.choice(urls), draw.choice([None, 1, 2, 2, 9]), names))
     assert replayed(spark, articles, changes, {1, 2}) == sequential(articles, changes, {1, 2})
     assert replayed(spark, articles, [], {1, 2}) == (sorted(articles, key=str), {})
+
+
+def test_new_articles_of_the_log_query_meet_no_old_ones(spark):
+    """The ids that the SQL gives to new articles may be taken: it still has them as new ones."""
+    from types import SimpleNamespace
+
+    from feedlens.plans import change_queries as Q
+
+    ids = [*range(1, 9), 16, Q._NEW + 16]
+    rows = [(number, f"t{number}", f"https://example.com/a/{number - 1}", 1) for number in ids]
+    t = SimpleNamespace(
+        articles=spark.createDataFrame(rows, ARTICLES), categories=spark.createDataFrame([(1,), (2,)], "category_id long"),
+    )
+    refused = {(row["order_no"], row["conflict"]) for row in Q.log_conflicts(t).collect()}
+    assert refused == {(30, "source_url_taken"), (41, "source_url_taken"), (70, "source_url_taken")}
+    new = [(row["article_id"], row["source_url"]) for row in Q.log_result(t).collect() if row["title"] == "new"]
+    # Article 16 is replaced under the id that _NEW + 16 has, and that one in its turn.
+    assert sorted(new) == [(Q._NEW + 8, rows[7][2]), (Q._NEW + 16, rows[8][2]), (2 * Q._NEW + 16, rows[9][2])]
