@@ -13,13 +13,18 @@ candidates are.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from operator import itemgetter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.operators.content import NEWEST_FIRST, SEARCHED, article_list_view, like_pattern, matches, search_articles
 from feedlens.operators.ranking import paged
 from feedlens.session import run_folder, written_table
+from feedlens.shipping import ship_package
 
 GRAM = 3
 #: Article ids per row of postings.
@@ -27,26 +32,71 @@ ID_SPAN = 1 << 15
 #: Article ids per folder of stored articles: some thousand folders at ten thousand million articles.
 FOLDER_IDS = 1 << 21
 FOLDER = "_folder"
+#: Pairs of articles and trigrams that a task turns into lists at once, and lists in a batch.
+AT_ONCE, LISTS = 1 << 22, 1 << 14
 #: Trigrams intersected: the rarest few leave little to the exact comparison.
 MOST_GRAMS = 6
 
 
-def _grams(text: Column) -> Column:
-    """Overlapping trigrams: those in a row from the first, second and third character."""
-    lowered = F.lower(text)
-    return F.concat(*[
-        F.regexp_extract_all(F.substr(lowered, F.lit(start)), F.lit("(?s)" + "." * GRAM), F.lit(0)) for start in range(1, GRAM + 1)
-    ])
+def _texts_grams(texts: list[str | None]) -> list[np.ndarray]:
+    """The overlapping trigrams of every text, each as a number of three 21-bit code points, with repetitions."""
+    lengths = np.array([len(text) if text else 0 for text in texts], np.int64)
+    signs = np.frombuffer("".join(text for text in texts if text).encode("utf-32-le"), np.uint32).astype(np.int64)
+    keys = signs[:-2] << 42 | signs[1:-1] << 21 | signs[2:]
+    ends = np.cumsum(lengths)
+    return [keys[end - length:max(end - GRAM + 1, end - length)] for end, length in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+
+def _gram_texts(keys: np.ndarray) -> list[str]:
+    signs = np.stack([keys >> 42, keys >> 21 & 0x1FFFFF, keys & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    return [signs[at:at + GRAM] for at in range(0, len(signs), GRAM)]
+
+
+def _lists(rows: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """``gram, span, ids`` of some articles and their distinct trigrams, ids ascending."""
+    rows.sort(key=itemgetter(0))
+    keys = np.concatenate([own for _, own in rows])
+    ids = np.repeat(np.array([number for number, _ in rows], np.int64), [len(own) for _, own in rows])
+    order = np.argsort(keys, kind="stable")
+    keys, ids = keys[order], ids[order]
+    spans = ids // ID_SPAN
+    starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (spans[1:] != spans[:-1])])) if len(keys) else np.zeros(0, np.int64)
+    offsets = np.append(starts, len(keys))
+    grams = _gram_texts(keys[starts])
+    for at in range(0, len(starts), LISTS):
+        part = offsets[at:at + LISTS + 1]
+        yield pa.RecordBatch.from_pydict({
+            "gram": pa.array(grams[at:at + LISTS], pa.string()), "span": pa.array(spans[starts[at:at + LISTS]], pa.int64()),
+            "ids": pa.ListArray.from_arrays(pa.array(part - part[0], pa.int32()), pa.array(ids[part[0]:part[-1]], pa.int64())),
+        })
+
+
+def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, size = [], 0
+    for batch in batches:
+        fields = [_texts_grams(batch.column(place).to_pylist()) for place in range(1, batch.num_columns)]
+        for number, *own in zip(batch.column(0).to_pylist(), *fields, strict=True):
+            found = np.unique(np.concatenate(own))
+            rows.append((number, found))
+            size += len(found)
+            if size >= AT_ONCE:
+                yield from _lists(rows)
+                rows, size = [], 0
+    if rows:
+        yield from _lists(rows)
 
 
 def postings(articles: DataFrame) -> DataFrame:
-    """``gram, span, ids, articles``: the index of ``articles``. Rows without an article_id are not indexed."""
-    held = [F.coalesce(_grams(F.col(name)), F.array().cast("array<string>")) for name in SEARCHED if name in articles.columns]
-    rows = articles.where(F.col("article_id").isNotNull()).select(
-        F.explode(F.array_distinct(F.concat(*held))).alias("gram"), "article_id"
-    )
-    return rows.groupBy("gram", F.expr(f"floor(article_id / {ID_SPAN})").alias("span")).agg(
-        F.sort_array(F.collect_set("article_id")).alias("ids")
+    """``gram, span, ids, articles``: the index of ``articles``. Rows without an article_id are not indexed.
+
+    Tasks make the lists of their own articles, ``AT_ONCE`` pairs at a time; only lists are shuffled, not a row per pair.
+    """
+    ship_package(articles.sparkSession)
+    held = [F.lower(F.col(name)).alias(name) for name in SEARCHED if name in articles.columns]
+    rows = articles.where(F.col("article_id").isNotNull()).select(F.col("article_id").cast("long").alias("article_id"), *held)
+    lists = rows.mapInArrow(_post, "gram string, span long, ids array<long>")
+    return lists.groupBy("gram", "span").agg(
+        F.array_distinct(F.sort_array(F.flatten(F.collect_list("ids")))).alias("ids")
     ).withColumn("articles", F.size("ids"))
 
 
@@ -86,8 +136,10 @@ def stored_by_id(articles: DataFrame, folder_ids: int = FOLDER_IDS) -> DataFrame
     spark = articles.sparkSession
     path = run_folder(spark, "articles-by-id")
     rows = articles.withColumn(FOLDER, F.expr(f"cast(floor(article_id / {folder_ids}) AS BIGINT)"))
-    # Several tasks may write into one folder, so that no range of ids is one task's.
-    rows.write.partitionBy(FOLDER).parquet(path)
+    # Tasks write ranges of ids, or each would put a file into every folder. A large folder is cut into several
+    # ranges, so that none is one task's; the hash cuts the rows without an id.
+    text = [F.col(name) for name in SEARCHED if name in articles.columns]
+    rows.repartitionByRange("article_id", F.xxhash64(*text)).write.partitionBy(FOLDER).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

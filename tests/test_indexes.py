@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,35 @@ def test_bitmaps(spark):
     assert D.distinct_users(stored.limit(0), ["event_type"]).collect() == []
     again = D.merged(stored.unionByName(stored))
     assert D.distinct_users(again).first()["users"] == whole["users"]
+
+
+def test_postings_shuffle_lists_and_not_pairs(spark, small, monkeypatch):
+    """Lists are made in the tasks, also of signs beyond 16 bits and of repeated ids."""
+    rows = [(40_000, "Ab\U0001f600cD", None, "xyz"), (1, "ab", "b\n\U0001f600", ""), (1, "XYZ", None, None), (3, "ab\U0001f600", "zz", "abab"), (None, "xyz", "", "")]
+    articles = spark.createDataFrame(rows, "article_id BIGINT, title STRING, summary STRING, content STRING")
+    wanted = {}
+    for number, *texts in rows:
+        for text in texts if number is not None else ():
+            lowered = (text or "").lower()
+            for at in range(len(lowered) - 2):
+                wanted.setdefault((lowered[at:at + 3], number // S.ID_SPAN), set()).add(number)
+    got = {(row["gram"], row["span"]): (row["ids"], row["articles"]) for row in S.postings(articles).collect()}
+    assert got == {key: (sorted(ids), len(ids)) for key, ids in wanted.items()}
+    assert "Generate" not in S.postings(articles)._jdf.queryExecution().executedPlan().toString()
+    # A few pairs at a time.
+    monkeypatch.setattr(S, "AT_ONCE", 4)
+    monkeypatch.setattr(S, "LISTS", 3)
+    named = [(number, *[text and text.lower() for text in texts]) for number, *texts in rows if number is not None]
+    batch = pa.RecordBatch.from_pydict(dict(zip(("article_id", "title", "summary", "content"), map(list, zip(*named, strict=True)), strict=True)))
+    parts, merged = list(S._post(iter([batch]))), {}
+    for row in [row for part in parts for row in part.to_pylist()]:
+        assert row["ids"] == sorted(row["ids"])
+        merged.setdefault((row["gram"], row["span"]), set()).update(row["ids"])
+    assert merged == wanted and len(parts) > 2
+
+
+def test_articles_by_id_are_few_files(spark):
+    """A task writes the folders of its own range of ids, not a file into every folder."""
+    rows = spark.range(4000).select(((F.col("id") * 7919) % 4000).alias("article_id"), F.lit("t").alias("title")).repartition(8)
+    stored = S.stored_by_id(rows, 100)
+    assert stored.count() == 4000 and len(stored.inputFiles()) <= 40 + 2 * spark.sparkContext.defaultParallelism
