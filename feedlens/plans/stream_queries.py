@@ -17,7 +17,7 @@ from feedlens.operators.events import decode_events, valid_events
 from feedlens.plans.event_queries import log_records
 from feedlens.plans.registry import Tables, query
 from feedlens.plans.views import DELTAS
-from feedlens.session import run_folder, stream_session
+from feedlens.session import run_folder, stream_session, written_table
 from feedlens.sources.readers import read_event_stream
 from feedlens.sources.sinks import ScoreStore
 from feedlens.streaming import aggregates as G
@@ -30,12 +30,12 @@ WAVE_BOUNDS = ("2024-01-11", "2024-01-21")
 
 def _waves(t: Tables, copies: int = 1) -> list[DataFrame]:
     """Log records of the first, second and third part of the month. With two copies
-    every record is sent twice."""
+    every record is sent twice. The records are made once, not per wave and copy."""
     records = log_records(t)
     day = t.all_events.select("event_id", F.to_date("event_timestamp").alias("day"))
-    placed = records.withColumn(
+    placed = written_table(records.withColumn(
         "event_id", (F.col("offset") * 4 + F.col("partition")).cast("string")
-    ).join(day, "event_id").drop("event_id")
+    ).join(day, "event_id").drop("event_id"), "log-records")
     first, second = (F.lit(bound).cast("date") for bound in WAVE_BOUNDS)
     parts = [F.col("day") < first, (F.col("day") >= first) & (F.col("day") < second), F.col("day") >= second]
     waves = []
@@ -171,8 +171,9 @@ def _run_mixed_job(t: Tables) -> StreamPaths:
     base = run_folder(t.spark, "stream")
     log = f"{base}/log"
     records = _stream(t, log)
+    sent = written_table(log_records(t), "log-records")
     for wave in range(3):
-        part = log_records(t).where(F.col("offset") % 3 == wave)
+        part = sent.where(F.col("offset") % 3 == wave)
         part.unionByName(part).write.mode("append").parquet(log)
         run_event_job(t.spark, records, f"{base}/tables", f"{base}/checkpoint", available_now=True, dedupe=True).awaitTermination()
     return StreamPaths(f"{base}/tables")

@@ -172,3 +172,13 @@ def test_unknown_stream_kind(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_log_records_are_made_once_for_all_waves(spark, small):
+    """Waves and copies read the stored records; the events are not encoded again for each."""
+    from feedlens.plans import stream_queries
+    from feedlens.plans.registry import Tables
+
+    for wave in stream_queries._waves(Tables(spark, small), copies=2):
+        plan = wave._jdf.queryExecution().optimizedPlan().toString()
+        assert "to_json" not in plan and "Join" not in plan
