@@ -6,6 +6,8 @@ is done. Long vectors come first, so most users are done early. Items a user has
 
 A round brings one group of ``GROUP`` items, a broadcast of bounded size, to the users that are not done, wherever these are;
 within it tasks multiply block by block. What a user has read is sent per round, only as far as it lies in the group.
+A task of a round has ``DEALT`` users or so, so its products are bounded, and more users are more tasks. (By their bytes
+Spark would give them all to one.)
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.operators.ranking import with_positions
@@ -24,6 +26,8 @@ from feedlens.shipping import ship_package
 
 #: Items in a broadcast (at 100 features some 100 MB), items in a product, users in a product.
 GROUP, BLOCK, USERS = 1 << 18, 1 << 11, 1 << 10
+#: Users in a task, and tasks per core where there are fewer users.
+DEALT, PER_CORE = 1 << 13, 2
 #: Products and lengths are rounded; a block is left out only when its bound is below the score by more.
 SLACK = 1 + 1e-9
 
@@ -76,6 +80,10 @@ def search_group(users: np.ndarray, scores: np.ndarray, items: np.ndarray, read:
     return scored
 
 
+def _tasks(spark: SparkSession, users: int) -> int:
+    return max(-(-users // DEALT), min(PER_CORE * spark.sparkContext.defaultParallelism, -(-users // USERS)), 1)
+
+
 def _round(shared, top_n: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, vectors, lengths = shared.value
@@ -127,7 +135,7 @@ def searched(users: DataFrame, items: DataFrame, read: DataFrame, top_n: int, gr
         F.array().cast("array<bigint>").alias("items"), F.lit(0).cast("long").alias("scored"),
     )
     active, results, number = start, [], 0
-    count = ranked.count()
+    count, left = ranked.count(), start.count()
     if not count:
         return start.select("user_id", "scores", "items", "scored")
     while True:
@@ -137,7 +145,7 @@ def searched(users: DataFrame, items: DataFrame, read: DataFrame, top_n: int, gr
         last = (number + 1) * group >= count
         joined = active.join(skipped.where(F.col("group") == number).select("user_id", "read"), "user_id", "left")
         state = written_table(
-            joined.select("user_id", "features", "scores", "items", "scored", "read").mapInArrow(
+            joined.select("user_id", "features", "scores", "items", "scored", "read").repartition(_tasks(spark, left), "user_id").mapInArrow(
                 _round(shared, top_n, last), _STATE.format(user_type=user_type)
             ),
             "search-round",
@@ -146,7 +154,10 @@ def searched(users: DataFrame, items: DataFrame, read: DataFrame, top_n: int, gr
         results.append(state.where("done"))
         active = state.where("not done").drop("done")
         number += 1
-        if last or active.isEmpty():
+        if last:
+            break
+        left = active.count()
+        if not left:
             break
     return reduce(DataFrame.unionByName, results).select("user_id", "scores", "items", "scored")
 

@@ -46,6 +46,23 @@ def test_few_products_on_skewed_lengths(spark):
     assert len(rows) == 50 and made <= 50 * 20_000 / 4, made
 
 
+def test_more_users_are_more_tasks(spark, monkeypatch):
+    rounds, write = [], P.written_table
+
+    def noted(df, name):
+        if name == "search-round":
+            rounds.append(df.groupBy(F.spark_partition_id()).count().collect())
+        return write(df, name)
+
+    monkeypatch.setattr(P, "written_table", noted)
+    monkeypatch.setattr(P, "DEALT", 50)
+    users = {number: [1, number % 3] for number in range(1000)}
+    items = {number: [5 - number % 5, 1] for number in range(20)}
+    lists = P.searched(*frames(spark, users, items, {(1, 1)}), 2, 8).collect()
+    assert len(lists) == 1000 and len(rounds) > 1
+    assert len(rounds[0]) > 10 and max(row["count"] for row in rounds[0]) < 100
+
+
 def test_empty_and_missing(spark):
     users, items, read = frames(spark, {1: [1, 2]}, {7: [1, 1]}, set())
     assert [row["article_id"] for row in P.top_by_inner_product(users, items, read, 3).collect()] == [7]
