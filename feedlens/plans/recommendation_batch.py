@@ -22,7 +22,7 @@ def recommend(people: DataFrame, features: DataFrame, pairs: DataFrame, ratings:
     """
     eligible = R.eligible_users(R.user_event_counts(people, ratings), settings.min_events)
     als = als_candidates(ratings, eligible, features, settings)
-    fallback = R.fallback_candidates(
+    fallback = R.fallback_sources(  # cut once, with the model's rows
         people, pairs, R.article_popularity(features, ratings), ratings.select("user_id", "article_id"), settings
     )
     return R.combine_candidates(als, fallback, settings)
