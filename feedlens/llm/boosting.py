@@ -1,69 +1,111 @@
-"""Gradient boosting of small trees on a bounded sample, and a logistic fit, for the operators' own classifiers."""
+"""Gradient boosting of small trees from sums per bin, and a logistic fit, for the operators' own classifiers.
+
+A tree's level needs only the sums of slopes and bends per node, feature and bin, which tasks make of their rows and add up.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 ROUNDS, DEPTH, RATE, CUTS = 40, 3, 0.2, 16
+#: Sums of slopes are whole multiples of its inverse.
+SCALE = 1 << 24
 
 #: A tree is (feature, cut, value) per node in heap order; a leaf has feature -1.
 Trees = tuple[float, list[list[tuple[int, float, float]]]]
 
 
-def _grow(features: np.ndarray, cuts: list[np.ndarray], slope: np.ndarray, bend: np.ndarray) -> list[tuple[int, float, float]]:
-    """One regression tree on the gradient, split where the loss falls most."""
-    nodes: list[tuple[int, float, float]] = [(-1, 0.0, 0.0)] * (2 ** (DEPTH + 1) - 1)
-    rows_of = {0: np.arange(len(slope))}
-    for node in range(len(nodes)):
-        rows = rows_of.pop(node, None)
-        if rows is None:
-            continue
-        total, weight = slope[rows].sum(), bend[rows].sum() + 1.0
-        best, choice = 1e-6, None
-        for feature in range(features.shape[1]) if node < 2**DEPTH - 1 else ():
-            for cut in cuts[feature]:
-                left = features[rows, feature] <= cut
-                if not left.any() or left.all():
-                    continue
-                one, one_weight = slope[rows[left]].sum(), bend[rows[left]].sum() + 1.0
-                gain = one**2 / one_weight + (total - one) ** 2 / (weight - one_weight + 1.0) - total**2 / weight
-                if gain > best:
-                    best, choice = gain, (feature, cut, left)
-        if choice is None:
-            nodes[node] = (-1, 0.0, total / weight)
-        else:
-            feature, cut, left = choice
-            nodes[node] = (feature, float(cut), 0.0)
-            rows_of[2 * node + 1], rows_of[2 * node + 2] = rows[left], rows[~left]
-    return nodes
-
-
-def _values(nodes: list[tuple[int, float, float]], features: np.ndarray) -> np.ndarray:
+def _places(nodes: list[tuple[int, float, float]], features: np.ndarray, depth: int) -> np.ndarray:
+    """The node that each row has come to after ``depth`` steps."""
     at = np.zeros(len(features), int)
-    feature, cut, value = (np.array(part) for part in zip(*nodes, strict=True))
-    for _ in range(DEPTH):
+    feature, cut, _ = (np.array(part) for part in zip(*nodes, strict=True))
+    for _ in range(depth):
         inner = feature[at] >= 0
         right = features[np.arange(len(at)), np.maximum(feature[at], 0)] > cut[at]
         at = np.where(inner, 2 * at + 1 + right, at)
-    return value[at]
+    return at
+
+
+def _values(nodes: list[tuple[int, float, float]], features: np.ndarray) -> np.ndarray:
+    return np.array([value for _, _, value in nodes])[_places(nodes, features, DEPTH)]
 
 
 def _probability(score: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(score, -30, 30)))
 
 
-def fit_trees(features: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> Trees:
-    """Trees for the log-odds of ``labels`` (0 or 1)."""
-    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    first = float(np.log(share / (1 - share)))
-    cuts = [np.unique(np.quantile(column, np.linspace(0, 1, CUTS)))[:-1] for column in features.T]
-    score, trees = np.full(len(labels), first), []
+def bins_of(features: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """Per row and feature the number of cuts below the value."""
+    return np.stack([np.searchsorted(cut, column) for cut, column in zip(cuts, features.T, strict=True)], axis=1).astype(np.uint8)
+
+
+def quantile_cuts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The cuts of a feature with ascending ``values``, each met ``counts`` times."""
+    ends = np.cumsum(counts)
+    places = np.floor(np.linspace(0, 1, CUTS) * (ends[-1] - 1)).astype(np.int64)
+    return np.unique(values[np.searchsorted(ends, places, side="right")])[:-1]
+
+
+def level_sums(bins: np.ndarray, counts: np.ndarray, ones: np.ndarray, first: float, trees: list, nodes: list, level: int) -> np.ndarray:
+    """Slope, bend and number of rows per node of a level, feature and bin, as whole numbers, so that parts add up alike in any order.
+
+    Row i stands for ``counts[i]`` rows of which ``ones[i]`` have the label 1.
+    """
+    cells = np.zeros((2**level, bins.shape[1], CUTS, 3), np.int64)
+    chance = _probability(first + RATE * sum((_values(own, bins) for own in trees), np.zeros(len(bins))))
+    sums = np.stack([
+        np.rint((ones - counts * chance) * SCALE).astype(np.int64), np.rint(counts * chance * (1 - chance) * SCALE).astype(np.int64), counts
+    ], axis=1)
+    at = _places(nodes, bins, level) - (2**level - 1)
+    inside = at >= 0
+    for feature in range(bins.shape[1]):
+        np.add.at(cells[:, feature], (at[inside], bins[inside, feature]), sums[inside])
+    return cells
+
+
+def boost(sums: Callable[[float, list, list, int], np.ndarray], cuts: list[np.ndarray], share: float, rounds: int = ROUNDS) -> Trees:
+    """Trees for the log-odds of labels of which ``share`` are 1, from ``level_sums`` over all rows: ``sums(first, trees, nodes, level)``."""
+    share = float(np.clip(share, 1e-3, 1 - 1e-3))
+    first, trees = float(np.log(share / (1 - share))), []
+    allowed = np.arange(CUTS)[None, :] < np.array([len(cut) for cut in cuts])[:, None]
     for _ in range(rounds):
-        chance = _probability(score)
-        nodes = _grow(features, cuts, labels - chance, chance * (1 - chance))
+        nodes: list[tuple[int, float, float]] = [(-1, 0.0, 0.0)] * (2 ** (DEPTH + 1) - 1)
+        for level in range(DEPTH):
+            cells = sums(first, trees, nodes, level)
+            for place in range(2**level):
+                node, whole = 2**level - 1 + place, cells[place, 0].sum(axis=0)
+                if not whole[2]:
+                    continue
+                left = np.cumsum(cells[place], axis=1)
+                split = allowed & (left[..., 2] > 0) & (left[..., 2] < whole[2])
+                one, one_weight = left[..., 0] / SCALE, left[..., 1] / SCALE + 1.0
+                total, weight = whole[0] / SCALE, whole[1] / SCALE + 1.0
+                gain = np.where(split, one**2 / one_weight + (total - one) ** 2 / (weight - one_weight + 1.0) - total**2 / weight, 0.0)
+                feature, cut = np.unravel_index(np.argmax(gain), gain.shape)
+                if gain[feature, cut] <= 1e-6:
+                    nodes[node] = (-1, 0.0, total / weight)
+                    continue
+                nodes[node] = (int(feature), float(cut), 0.0)
+                one, one_weight = one[feature, cut], one_weight[feature, cut]
+                nodes[2 * node + 1], nodes[2 * node + 2] = (-1, 0.0, one / one_weight), (-1, 0.0, (total - one) / (weight - one_weight + 1.0))
         trees.append(nodes)
-        score = score + RATE * _values(nodes, features)
-    return first, trees
+        if nodes[0][0] < 0:
+            break  # no cut helps, nor will it in the next round
+    return first, in_values(trees, cuts)
+
+
+def in_values(trees: list, cuts: list[np.ndarray]) -> list:
+    """Trees over bins as trees over the values that were cut."""
+    return [[(feature, float(cuts[feature][int(cut)]) if feature >= 0 else 0.0, value) for feature, cut, value in nodes] for nodes in trees]
+
+
+def fit_trees(features: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> Trees:
+    """Trees for the log-odds of ``labels`` (0 or 1)."""
+    cuts = [quantile_cuts(*np.unique(column, return_counts=True)) for column in features.T]
+    bins, counts = bins_of(features, cuts), np.ones(len(labels), np.int64)
+    return boost(lambda *tree: level_sums(bins, counts, labels, *tree), cuts, labels.mean(), rounds)
 
 
 def score_trees(model: Trees, features: np.ndarray) -> np.ndarray:
@@ -71,10 +113,13 @@ def score_trees(model: Trees, features: np.ndarray) -> np.ndarray:
     return _probability(first + RATE * sum((_values(nodes, features) for nodes in trees), np.zeros(len(features))))
 
 
-def precision_threshold(scores: np.ndarray, labels: np.ndarray, precision: float) -> float | None:
-    """The lowest threshold from which at least ``precision`` of the rows above are 1, if one exists."""
+def precision_threshold(scores: np.ndarray, labels: np.ndarray, precision: float, counts: np.ndarray | None = None) -> float | None:
+    """The lowest threshold from which at least ``precision`` of the rows above are 1, if one exists.
+
+    With ``counts`` an entry stands for so many rows, and its label is the number of those that are 1.
+    """
     order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
+    right = np.cumsum(labels[order]) / np.cumsum(np.ones(len(order)) if counts is None else counts[order])
     ends = np.flatnonzero(np.append(np.diff(scores[order]) != 0, True))
     good = [end for end in ends if right[end] >= precision]
     # A little lower: sums of the same leaves may differ in the last bit.

@@ -7,8 +7,10 @@ check. Boosted trees learn from candidates that coincide with a known form (1) a
 do not (0); per kind, a held-out fold sets the threshold at which ``PRECISION`` of what is above are
 known forms, and only candidates above it become spans of kind ``other``.
 
-The trees are fitted on a bounded, documented sample of candidates (``SAMPLE``, lowest hashes, over
-all documents) and scored over every document where it is. No text is shuffled.
+The trees are fitted on all candidates of all documents. Features are cut at quantiles of all their values, candidates of the same
+bins are counted together, and each level of a tree needs only sums per node, feature and bin: over at most ``TOGETHER``
+distinct rows of bins on the driver, else as a Spark job. Thresholds come from all candidates of the held-out fold, by counts per
+score in steps of 1 / ``STEPS``. Documents are scored where they are. No text is shuffled.
 
 Defined results: a NULL text is an empty one; empty tables and texts without candidates give no spans; a kind without
 enough examples has no threshold and adds none; repeated rows give repeated results; positions are code points, ends exclusive.
@@ -22,16 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.boosting import Trees, fit_trees, precision_threshold, score_trees
-from feedlens.llm.sampling import lowest_hashes
+from feedlens.llm.boosting import Trees, bins_of, boost, in_values, level_sums, precision_threshold, quantile_cuts, score_trees
 from feedlens.llm.shipping import ship_package
 from feedlens.session import written_table
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 20_000
+#: Distinct rows of bins that are boosted on the driver (3 MB), steps of a score, features of a candidate.
+TOGETHER, STEPS, N_FEATURES = 1 << 16, 1 << 16, 18
+#: Tasks whose sums the driver adds up.
+SUMMED = 64
 PRECISION = 0.95
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -143,23 +148,108 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def fit(found: DataFrame, sample: int = SAMPLE) -> dict[str, tuple[Trees, float]]:
-    """Trees and threshold by kind of proposal, from the ``sample`` candidates with the lowest hashes."""
-    rows = found.select("doc_id", F.explode("candidates").alias("c")).select(
-        F.xxhash64("doc_id", "c.start", "c.end").alias("place"), "c.kind", "c.known", "c.features"
-    )
-    count = found.agg(F.coalesce(F.sum(F.size("candidates")), F.lit(0)).alias("n")).first()["n"]
-    bounded = rows.where(lowest_hashes("place", sample, count)).orderBy("place", "kind", "known").limit(sample).toPandas()
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all candidates of a batch: the number of the kind, whether held out, whether known, and the features."""
+    found = batch.column("candidates").flatten()
+    kinds = pc.index_in(found.field("kind"), pa.array([kind for kind, _ in _PROPOSALS])).to_numpy(zero_copy_only=False)
+    features = found.field("features").flatten().to_numpy(zero_copy_only=False).reshape(len(kinds), -1)
+    return kinds, batch.column("held").flatten().to_numpy(zero_copy_only=False).astype(bool), found.field("known").to_numpy(zero_copy_only=False), features
+
+
+def _value_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often a feature of a kind has a value, in the fold that is learned from."""
+    for batch in batches:
+        kinds, held, _, features = _columns(batch)
+        rows = []
+        for kind in np.unique(kinds[~held]):
+            for number, column in enumerate(features[~held & (kinds == kind)].T):
+                rows += [(int(kind), number, value, count) for value, count in zip(*map(np.ndarray.tolist, np.unique(column, return_counts=True)), strict=True)]
+        yield pa.RecordBatch.from_pydict(dict(zip(
+            ("kind", "feature", "value", "n"), (list(part) for part in zip(*rows, strict=True)) if rows else ([],) * 4, strict=True)),
+            pa.schema([("kind", pa.int32()), ("feature", pa.int32()), ("value", pa.float64()), ("n", pa.int64())]))
+
+
+def _bin_counts(cuts: dict[int, list[np.ndarray]]):
+    """Candidates, and known ones, per kind, fold and row of bins."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, held, known, features = _columns(batch)
+            for kind, own_cuts in cuts.items():
+                for fold in (False, True):
+                    own = (kinds == kind) & (held == fold)
+                    if not own.any():
+                        continue
+                    rows, place = np.unique(bins_of(features[own], own_cuts), axis=0, return_inverse=True)
+                    place = place.reshape(-1)
+                    yield pa.RecordBatch.from_pydict({
+                        "kind": pa.array([kind] * len(rows), pa.int32()), "held": pa.array([fold] * len(rows)),
+                        "bins": pa.array([row.tobytes() for row in rows], pa.binary()), "n": pa.array(np.bincount(place), pa.int64()),
+                        "known": pa.array(np.rint(np.bincount(place, known[own])).astype(np.int64)),
+                    })
+
+    return run
+
+
+def _matrix(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+    return bins, batch.column("n").to_numpy(), batch.column("known").to_numpy()
+
+
+def _over_all(groups: DataFrame, sums):
+    """``sums(bins, n, known, *more)`` over all rows of ``groups``, added up: at once if they are few, else in Spark's tasks."""
+    if groups.count() <= TOGETHER:
+        parts = _matrix(groups.toArrow())
+        return lambda *more: sums(*parts, *more)
+
+    def added(*more):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = sum((sums(*_matrix(batch), *more) for batch in batches if batch.num_rows), np.int64(0))
+            if np.ndim(total):
+                yield pa.RecordBatch.from_pydict({"cells": pa.array([total.tobytes()], pa.binary())})
+
+        rows = groups.coalesce(SUMMED).mapInArrow(run, "cells binary").collect()  # 1 MB a row at most
+        total = sum(np.frombuffer(row["cells"], np.int64) for row in rows)
+        return total.reshape(sums(np.zeros((0, N_FEATURES), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), *more).shape)
+
+    return added
+
+
+def _score_sums(bins: np.ndarray, counts: np.ndarray, ones: np.ndarray, trees: Trees) -> np.ndarray:
+    """Candidates and known ones per step of the score."""
+    step = np.floor(score_trees(trees, bins) * STEPS).astype(np.int64)
+    cells = np.zeros((STEPS + 1, 2), np.int64)
+    np.add.at(cells, step, np.stack([counts, ones], axis=1))
+    return cells
+
+
+def fit(found: DataFrame) -> dict[str, tuple[Trees, float]]:
+    """Trees and threshold by kind of proposal, from all candidates."""
+    fold = F.transform("candidates", lambda c: F.pmod(F.xxhash64("doc_id", c["start"], c["end"]), F.lit(5)) == 0)
+    rows = found.where(F.size("candidates") > 0).select("candidates", fold.alias("held"))
+    # The patterns bound a candidate's length and so the number of values.
+    values = rows.mapInArrow(_value_counts, "kind int, feature int, value double, n long").groupBy("kind", "feature", "value").agg(
+        F.sum("n").alias("n")).orderBy("kind", "feature", "value").toPandas()
+    cuts = {int(kind): [quantile_cuts(column["value"].to_numpy(), column["n"].to_numpy()) for _, column in own.groupby("feature")]
+            for kind, own in values.groupby("kind")}
+    if not cuts:
+        return {}
+    counted = rows.mapInArrow(_bin_counts(cuts), "kind int, held boolean, bins binary, n long, known long")
+    groups = written_table(counted.groupBy("kind", "held", "bins").agg(F.sum("n").alias("n"), F.sum("known").alias("known")), "candidate-bins")
+    sizes = {(row["kind"], row["held"]): row for row in groups.groupBy("kind", "held").agg(F.sum("n").alias("n"), F.sum("known").alias("known")).collect()}
     models = {}
-    for kind, own in bounded.groupby("kind"):
-        features = np.array(own["features"].tolist(), float)
-        known, held = own["known"].to_numpy(), (own["place"].to_numpy() % 5 == 0)
-        if min(known[~held].sum(), (1 - known[~held]).sum(), held.sum()) < 10:
+    for kind, own_cuts in cuts.items():
+        learned, held = sizes[kind, False], sizes.get((kind, True))
+        if held is None or min(learned["known"], learned["n"] - learned["known"], held["n"]) < 10:
             continue
-        trees = fit_trees(features[~held], known[~held])
-        limit = precision_threshold(score_trees(trees, features[held]), known[held], PRECISION)
+        own = groups.where(F.col("kind") == kind)
+        # In bins, so that the held-out rows can be scored as they are counted.
+        steps = [np.arange(len(cut), dtype=float) for cut in own_cuts]
+        first, trees = boost(_over_all(own.where("not held"), level_sums), steps, learned["known"] / learned["n"])
+        cells = _over_all(own.where("held"), _score_sums)((first, trees))
+        met = np.flatnonzero(cells[:, 0])
+        limit = precision_threshold(met / STEPS, cells[met, 1], PRECISION, cells[met, 0])
         if limit is not None:
-            models[kind] = (trees, limit)
+            models[_PROPOSALS[kind][0]] = ((first, in_values(trees, own_cuts)), limit)
     return models
 
 
@@ -195,7 +285,7 @@ def _apart(spans: list[dict]) -> list[dict]:
     return kept
 
 
-def find_personal_data(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def find_personal_data(documents: DataFrame) -> DataFrame:
     """``doc_id, base, other``: the known forms and the spans that the trees add, as arrays of (kind, start, end)."""
     ship_package(documents.sparkSession)
     doc_type = documents.schema["doc_id"].dataType.simpleString()
@@ -203,7 +293,7 @@ def find_personal_data(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
         documents.select("doc_id", "text").mapInArrow(_find, f"doc_id {doc_type}, base {SPAN_TYPE}, candidates {CANDIDATE_TYPE}"),
         "personal-data",
     )
-    shared = documents.sparkSession.sparkContext.broadcast(fit(found, sample))
+    shared = documents.sparkSession.sparkContext.broadcast(fit(found))
     return found.mapInArrow(_select(shared), f"doc_id {doc_type}, base {SPAN_TYPE}, other {SPAN_TYPE}")
 
 

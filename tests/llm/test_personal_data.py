@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 
+from feedlens.llm import personal_data
 from feedlens.llm.boosting import fit_logistic, fit_trees, precision_threshold, score_logistic, score_trees
 from feedlens.llm.personal_data import find_personal_data, known_spans, personal_report, redacted
 
@@ -69,6 +70,27 @@ def test_trees_add_candidates_like_the_known_and_no_others(spark, make_documents
     assert not rows[401].other and not rows[402].other and sum(len(rows[number].other) for number in range(400)) == 0
 
 
+def test_trees_and_thresholds_come_from_all_candidates(spark, make_documents, monkeypatch):
+    """Sums per level as numpy over every candidate, also when Spark adds them up."""
+    draw = random.Random(5)
+    docs = make_documents([training(number, draw) for number in range(300)])
+    found = docs.select("doc_id", "text").mapInArrow(personal_data._find, f"doc_id long, base {personal_data.SPAN_TYPE}, candidates {personal_data.CANDIDATE_TYPE}")
+    models, seen, add = personal_data.fit(found), [], personal_data.boost
+    monkeypatch.setattr(personal_data, "TOGETHER", 0)
+    monkeypatch.setattr(personal_data, "boost", lambda sums, *more: add(lambda *tree: seen.append(sums(*tree)) or seen[-1], *more, rounds=3))
+    in_tasks = personal_data.fit(found)
+    assert models and in_tasks.keys() == models.keys()
+    fold = "pmod(xxhash64(doc_id, c.start, c.end), 5) <> 0"
+    rows = found.selectExpr("doc_id", "explode(candidates) AS c").where(fold).selectExpr("c.kind", "c.known", "c.features").toPandas()
+    counts = {int(cells[0, 0, :, 2].sum()) for cells in seen if len(cells) == 1}
+    assert counts == {len(own) for kind, own in rows.groupby("kind") if kind in models}
+    for kind, (trees, _) in in_tasks.items():
+        own = rows[rows["kind"] == kind]
+        plain = fit_trees(np.array(own["features"].tolist()), own["known"].to_numpy(), 3)
+        assert np.allclose(np.array(trees[1]), np.array(plain[1]), rtol=0, atol=1e-4)  # sums are rounded per row of bins or per candidate
+        assert (trees[0], trees[1]) == (models[kind][0][0], models[kind][0][1][:3])
+
+
 def test_redaction_covers_all_spans(spark, make_documents):
     rows = {row.doc_id: row.text for row in redacted(make_documents(["write x@y.zz or +1 555 123 4567!", None, "no"])).collect()}
     assert rows == {0: "write [REDACTED] or [REDACTED]!", 1: "", 2: "no"}
