@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens import schemas as S
+from feedlens.operators.grouped_als import grouped_candidates
 from feedlens.operators.inner_product import top_by_inner_product
 from feedlens.operators.ranking import with_positions
 from feedlens.operators.recommend import RecommendationSettings
@@ -43,12 +44,16 @@ def fit_als(triples: DataFrame, settings: RecommendationSettings) -> ALSModel:
 
 
 def als_candidates(ratings: DataFrame, eligible: DataFrame, articles: DataFrame,
-                   settings: RecommendationSettings) -> DataFrame:
+                   settings: RecommendationSettings, readers: DataFrame | None = None) -> DataFrame:
     """The best ``top_n`` unread known articles of each eligible user.
 
+    ``readers`` (``user_id, open``) have read all articles but the groups in ``open``, see ``grouped_als``; ``articles`` then has the ``group``.
+
     Ratings of unknown articles are left out before the fit, so that they take no places. The factors are searched with the
     read articles left out, until no article left can be among a user's best.
     """
+    if readers is not None:
+        return grouped_candidates(ratings, eligible, articles, settings, readers)
     known = ratings.join(articles.select("article_id"), "article_id", "left_semi")
     served = eligible.join(known, "user_id", "left_semi")
     if served.isEmpty():
