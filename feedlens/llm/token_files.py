@@ -26,28 +26,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.llm.pooled_tokens import PooledTokens
 from feedlens.llm.repair import Grammar, compress, expand, expand_range
 from feedlens.llm.shipping import ship_package
-from feedlens.llm.word_tokens import WordTokens, byte_level_table
+from feedlens.llm.word_tokens import byte_level_table
 from feedlens.session import written_table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_IDS, BLOCK_IDS = 1 << 18, 1 << 19
-#: Characters of texts encoded at once.
-AT_ONCE = 1 << 20
+#: Bytes of texts encoded at once.
+AT_ONCE = 1 << 23
 
 
 @functools.cache
-def load_tokenizer(path: str | None) -> tuple[WordTokens, int]:
+def load_tokenizer(path: str | None) -> tuple[PooledTokens, int]:
     """The tokenizer of a file (by default the public one of each machine) and its number of ids; once per worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+    from tokenizers.pre_tokenizers import ByteLevel
 
     if path is None:
         import public_tokenizers
@@ -56,25 +60,29 @@ def load_tokenizer(path: str | None) -> tuple[WordTokens, int]:
     tokenizer = Tokenizer.from_file(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     table = byte_level_table(tokenizer.get_vocab())
-    return WordTokens(encode, table), len(table)
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    cutter = tokenizer.pre_tokenizer
+    cut = (
+        isinstance(tokenizer.model, BPE) and isinstance(cutter, ByteLevel) and cutter.use_regex and not cutter.add_prefix_space
+        and tokenizer.normalizer is None and tokenizer.truncation is None and tokenizer.padding is None
+    )
+    return PooledTokens(encode, table, added, END_ID, cut), len(table)
 
 
-def text_groups(batches: Iterator[pa.RecordBatch], characters: int = AT_ONCE) -> Iterator[tuple[list, list[str]]]:
-    """``doc_ids, texts`` of some rows at a time; NULL texts are empty."""
-    ids, texts, size = [], [], 0
+def text_groups(batches: Iterator[pa.RecordBatch], at_once: int = AT_ONCE) -> Iterator[tuple[list, pa.Array]]:
+    """``doc_ids, texts`` of some rows at a time."""
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1])
-            if size >= characters:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+        texts = batch.column("text")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, before + at_once, side="right")), start + 1)
+            yield batch.column("doc_id").slice(start, stop - start).to_pylist(), texts.slice(start, stop - start)
+            start = stop
 
 
 def _packed(grammar: Grammar, n_ids: int) -> dict:
@@ -100,7 +108,6 @@ _SHARD = (
 def _write_shards(path: str | None, shard_ids: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, terminals = load_tokenizer(path)
-        end = np.array([END_ID], np.uint32)
         part, doc_type = None, None
         doc_ids, pieces, lengths = [], [], []
         first = size = 0
@@ -125,11 +132,12 @@ def _write_shards(path: str | None, shard_ids: int, block_ids: int):
                 yield batch
 
         for ids, texts in text_groups(noted(batches)):
-            for doc_id, own in zip(ids, tokens.many(texts), strict=True):
+            encoded = (own for found, sizes in tokens.many(texts) for own in np.split(found, np.cumsum(sizes)[:-1]))
+            for doc_id, own in zip(ids, encoded, strict=True):
                 doc_ids.append(doc_id)
-                pieces += [own, end]
-                lengths.append(len(own) + 1)
-                size += len(own) + 1
+                pieces.append(own)
+                lengths.append(len(own))
+                size += len(own)
                 if size >= shard_ids:
                     yield shard()
                     first, size = first + size, 0
