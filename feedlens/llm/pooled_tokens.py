@@ -7,7 +7,8 @@ cut at these alone, so that a part's ids are the same wherever it stands. Signs
 beyond ASCII is among those of U+0080 to U+00BF and from U+0800 on) are not cut at. A text that holds an added token, or of a tokenizer
 without this pattern, is one part.
 
-Parts are told apart by Arrow, the ids of each different part are looked up or encoded once, and the texts' ids are gathered from a pool.
+Parts of up to 15 bytes are two integers each and looked up by numpy; Arrow tells the others and the new ones apart. Each different new part is
+encoded once, and the texts' ids are gathered from a pool.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ import pyarrow.compute as pc
 from feedlens.llm.repair import gather
 
 #: Parts remembered by a worker, the ids of their pool, and the bytes of the longest of them.
-MOST_PARTS, MOST_IDS, LONGEST = 1 << 19, 1 << 22, 64
+MOST_PARTS, MOST_IDS, LONGEST = 1 << 20, 1 << 23, 64
 #: New parts encoded as one text.
 TOGETHER = 1000
-#: Bytes cut and parts gathered at once.
+#: Bytes cut and parts looked up or gathered at once.
 BYTES_CUT, GATHERED = 1 << 18, 1 << 18
+#: Longest part, in bytes, that is held as two integers, the last byte of which is its length.
+NARROW = 15
 
 _WORD, _MARK, _APOSTROPHE, _SPACE, _NEWLINE, _LEAD, _REST = 1, 2, 4, 8, 16, 32, 64
 _KIND = np.zeros(256, np.uint8)
@@ -39,6 +42,8 @@ _KIND[ord("\n")] = _NEWLINE
 # U+00C0 to U+07FF, none of them white space.
 _KIND[0xC3:0xE0] = _LEAD
 _KIND[0x80:0xC0] = _REST
+_MASKS = np.array([(1 << 8 * size) - 1 for size in range(9)], np.uint64)
+_SPREADS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 _ASCII_SIGN = _WORD | _MARK | _APOSTROPHE
 
 
@@ -67,6 +72,56 @@ def _layout(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data
 
 
+def narrow_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of up to ``NARROW`` bytes as two integers, different for different parts. ``data`` has 16 bytes beyond the parts."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    low = eights[starts] & _MASKS[np.minimum(sizes, 8)]
+    high = eights[starts + 8] & _MASKS[np.clip(sizes - 8, 0, 7)]
+    return low, high | sizes.astype(np.uint64) << np.uint64(56)
+
+
+class PartTable:
+    """Numbers of narrow parts: slots of numbers, and the parts' keys by number (0 for numbers that are not found here)."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray) -> None:
+        self.low, self.high = low[:0], high[:0]
+        self.slots = np.full(1 << 10, -1, np.int32)
+        self.add(low, high)
+
+    def _home(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = low * _SPREADS[0] ^ high * _SPREADS[1]
+        mixed ^= mixed >> np.uint64(29)
+        return (mixed * _SPREADS[2] >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _place(self, numbers: np.ndarray) -> None:
+        places = self._home(self.low[numbers], self.high[numbers])
+        while len(numbers):
+            free = self.slots[places] < 0
+            self.slots[places[free]] = numbers[free]
+            others = self.slots[places] != numbers
+            numbers, places = numbers[others], places[others] + 1 & len(self.slots) - 1
+
+    def add(self, low: np.ndarray, high: np.ndarray) -> None:
+        """Number new keys, none of them held, from the last number on."""
+        numbers = np.arange(len(self.low), len(self.low) + len(low), dtype=np.int32)
+        self.low, self.high = np.concatenate([self.low, low]), np.concatenate([self.high, high])
+        if 2 * len(self.low) > len(self.slots):
+            self.slots = np.full(1 << (2 * len(self.low)).bit_length(), -1, np.int32)
+            numbers = np.arange(len(self.low), dtype=np.int32)
+        self._place(numbers[self.high[numbers] > 0])
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The keys' numbers, or -1."""
+        places = self._home(low, high)
+        numbers = self.slots[places]
+        look = np.flatnonzero((numbers >= 0) & ((self.low[numbers] != low) | (self.high[numbers] != high)))
+        while len(look):
+            places[look] = places[look] + 1 & len(self.slots) - 1
+            found = numbers[look] = self.slots[places[look]]
+            look = look[(found >= 0) & ((self.low[found] != low[look]) | (self.high[found] != high[look]))]
+        return numbers
+
+
 class PooledTokens:
     """Ids of texts by remembered ids of their parts, an end id after each text.
 
@@ -81,26 +136,38 @@ class PooledTokens:
         self.widths = np.array([len(own) for own in token_bytes], np.int64)
         self.token_data = np.frombuffer(b"".join(token_bytes), np.uint8)
         self.token_starts = np.cumsum(self.widths) - self.widths
+        # Numbers of parts that are not narrow.
         self.known: dict[str, int] = {}
         # Part 0 is the end of a text.
         self.pool = np.array([end_id], np.uint32)
         self.starts, self.lengths, self.uses = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int64)
+        self.table = PartTable(np.zeros(1, np.uint64), np.zeros(1, np.uint64))
 
     def _forget(self) -> None:
         """Drop the less used half of the parts, and those not remembered."""
-        parts = list(self.known)
-        numbers = np.fromiter(self.known.values(), np.int64, len(parts))
-        # The later one first among parts of as many uses.
-        best = np.sort(np.argsort(self.uses[numbers], kind="stable")[-(MOST_PARTS // 2):])
-        numbers = np.concatenate([[0], numbers[best]])
+        numbers = np.concatenate([np.flatnonzero(self.table.high), np.fromiter(self.known.values(), np.int64, len(self.known))])
+        if len(numbers) > MOST_PARTS // 2:
+            # The later one first among parts of as many uses.
+            order = np.argpartition(self.uses[numbers] * len(self.starts) + numbers, len(numbers) - MOST_PARTS // 2)
+            numbers = numbers[order[len(numbers) - MOST_PARTS // 2:]]
+        numbers = np.concatenate([[0], np.sort(numbers)])
+        renumbered = np.full(len(self.starts), -1, np.int64)
+        renumbered[numbers] = np.arange(len(numbers))
+        self.known = {part: int(renumbered[number]) for part, number in self.known.items() if renumbered[number] >= 0}
+        self.table = PartTable(self.table.low[numbers], self.table.high[numbers])
         self.pool = gather(self.pool, self.starts[numbers], self.lengths[numbers])
         self.lengths, self.uses = self.lengths[numbers], self.uses[numbers] // 2
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.known = {parts[place]: number for number, place in enumerate(best.tolist(), 1)}
 
-    def _add(self, parts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        """Add parts by the ids that stand for them one after another."""
-        self.known.update(zip(parts, range(len(self.starts), len(self.starts) + len(parts)), strict=True))
+    def _add(self, parts: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Add parts by the ids that stand for them one after another. Long ones are numbered, but not remembered."""
+        ends, data = _layout(parts)
+        sizes = np.diff(ends)
+        low, high = narrow_keys(np.concatenate([data, np.zeros(16, np.uint8)]), ends[:-1], sizes)
+        high[sizes > NARROW] = 0
+        wide = np.flatnonzero((sizes > NARROW) & (sizes <= LONGEST))
+        self.known.update(zip(parts.take(pa.array(wide)).to_pylist(), (wide + len(self.starts)).tolist(), strict=True))
+        self.table.add(low, high)
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
         self.pool = np.concatenate([self.pool, ids])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -123,12 +190,11 @@ class PooledTokens:
         return np.array([number for ids in found for number in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
 
     def _learn(self, parts: pa.Array, added: bool) -> np.ndarray:
-        """Numbers of new parts. Long ones are forgotten after this call."""
+        """Numbers of new parts."""
         ends, data = _layout(parts)
         sizes = np.diff(ends)
-        short = sizes <= LONGEST
         # May be encoded beside others: opens with a space before a sign, and ends with a sign.
-        plain = short & (sizes > 1) & (data[ends[:-1]] == ord(" "))
+        plain = (sizes > 1) & (sizes <= LONGEST) & (data[ends[:-1]] == ord(" "))
         kind = _KIND[data]
         plain[plain] = kind[ends[:-1][plain] + 1] & (_ASCII_SIGN | _LEAD) != 0
         last = ends[1:][plain] - 1
@@ -145,17 +211,36 @@ class PooledTokens:
             low, high = int(part_ends[start]), int(part_ends[stop])
             ids = self._together(packed[low:high], part_ends[start + 1:stop + 1] - low)
             found.append(ids or self._alone(joined.slice(start, stop - start).to_pylist()))
-        for kept, which in ((True, plain), (True, short & ~plain), (False, ~short)):
-            own = np.flatnonzero(which)
-            if len(own):
-                words = parts.take(pa.array(own)).to_pylist()
-                if which is not plain:
-                    found = [self._alone(words)]
-                numbers[own] = np.arange(len(self.starts), len(self.starts) + len(own))
-                self._add(words, np.concatenate([ids for ids, _ in found]), np.concatenate([lengths for _, lengths in found]))
-                if not kept:
-                    for word in words:
-                        del self.known[word]
+        others = np.flatnonzero(~plain)
+        if len(others):
+            found.append(self._alone(parts.take(pa.array(others)).to_pylist()))
+        order = np.concatenate([np.flatnonzero(plain), others])
+        numbers[order] = np.arange(len(self.starts), len(self.starts) + len(order))
+        self._add(
+            parts.take(pa.array(order)), np.concatenate([ids for ids, _ in found]), np.concatenate([lengths for _, lengths in found])
+        )
+        return numbers
+
+    def _numbers(self, data: np.ndarray, at: np.ndarray, added: bool) -> np.ndarray:
+        """The numbers of the parts that begin ``at`` these places."""
+        ends = np.append(at, len(data))
+        sizes = np.diff(ends)
+        padded = np.concatenate([data, np.zeros(16, np.uint8)])
+        numbers = np.empty(len(at), np.int32)
+        for start in range(0, len(at), GATHERED):
+            own = slice(start, start + GATHERED)
+            numbers[own] = self.table.find(*narrow_keys(padded, at[own], sizes[own]))
+        numbers[sizes > NARROW] = -1
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(padded)).take(pa.array(missing))
+            parts = parts.dictionary_encode()
+            found = np.fromiter(map(self.known.get, parts.dictionary.to_pylist(), repeat(-1)), np.int64, len(parts.dictionary))
+            new = np.flatnonzero(found < 0)
+            if len(new):
+                found[new] = self._learn(parts.dictionary.take(pa.array(new)), added)
+            numbers[missing] = found[parts.indices.to_numpy()]
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
         return numbers
 
     def _parts(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, bool]:
@@ -178,22 +263,13 @@ class PooledTokens:
             self._forget()
         starts, data = _layout(pc.fill_null(texts, "") if texts.null_count else texts)
         at, added = self._parts(data, starts) if len(data) else (np.zeros(0, np.int64), False)
-        parts = pa.StringArray.from_buffers(
-            len(at), pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))
-        ).dictionary_encode()
-        different = parts.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
-        new = np.flatnonzero(numbers < 0)
-        if len(new):
-            numbers[new] = self._learn(parts.dictionary.take(pa.array(new)), added)
-        codes = parts.indices.to_numpy()
-        self.uses[numbers] += np.bincount(codes, minlength=len(numbers))
+        numbers = self._numbers(data, at, added)
         after = np.searchsorted(at, starts[1:])
         first = low = 0
         while first < len(after):
             stop = max(int(np.searchsorted(after, low + GATHERED, side="right")), first + 1)
             own = after[first:stop] - low
-            sequence = np.insert(numbers[codes[low:low + own[-1]]], own, 0)
+            sequence = np.insert(numbers[low:low + own[-1]], own, 0)
             lengths = self.lengths[sequence]
             ends = np.cumsum(lengths)[own + np.arange(len(own))]
             yield gather(self.pool, self.starts[sequence], lengths), np.diff(ends, prepend=0)

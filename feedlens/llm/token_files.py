@@ -40,7 +40,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_IDS, BLOCK_IDS = 1 << 18, 1 << 19
 #: Bytes of texts encoded at once.
-AT_ONCE = 1 << 23
+AT_ONCE = 1 << 22
 
 
 @functools.cache

@@ -86,6 +86,25 @@ def test_forgotten_parts_are_learned_again(pooled, tokenizer, monkeypatch):
         assert len(pooled.known) <= 20 and len(pooled.starts) <= 21
 
 
+def test_parts_are_found_by_their_bytes(monkeypatch):
+    draw = random.Random(8)
+    parts = sorted({bytes(draw.choices(b"\0ab", k=draw.randrange(1, 16))) for _ in range(4000)}) + [b"a" * 15, b"b" * 8, b"b" * 8 + b"\0"]
+    parts = sorted(set(parts))
+    for spreads in (pooled_tokens._SPREADS, np.zeros(3, np.uint64)):
+        # Without a spread all parts meet in one slot.
+        monkeypatch.setattr(pooled_tokens, "_SPREADS", spreads)
+        own = parts if spreads.any() else parts[::40]
+        sizes = np.array([len(part) for part in own])
+        data = np.frombuffer(b"".join(own) + b"\xff" * 16, np.uint8)
+        low, high = pooled_tokens.narrow_keys(data, np.cumsum(sizes) - sizes, sizes)
+        table = pooled_tokens.PartTable(np.zeros(1, np.uint64), np.zeros(1, np.uint64))
+        half = len(own) // 2
+        table.add(low[:half], high[:half])
+        assert table.find(low, high).tolist() == [*range(1, half + 1), *[-1] * (len(own) - half)]
+        table.add(low[half:], high[half:])
+        assert table.find(low, high).tolist() == list(range(1, len(own) + 1))
+
+
 def test_each_part_is_encoded_once_whatever_stands_after_it(tokenizer):
     pooled = token_files.load_tokenizer.__wrapped__(None)[0]
     given, encode = [], pooled.encode
